@@ -58,3 +58,19 @@ def season_start(label: Column) -> Column:
     y = F.regexp_extract(label, r"([0-9]{4}|[0-9]{2})\s*[-/–]\s*(?:[0-9]{4}|[0-9]{2})", 1)
     no = F.nullif(y, F.lit("")).cast("int")
     return F.when(F.length(y) == 4, no).when(F.length(y) == 2, no + 2000)
+
+
+#: What clubs are called besides their place, in folded letters.
+_FORMS = r"gymnastik och idrottsforening(en)?|allmanna idrottssallskap(et)?|idrottsforening(en)?|bordtennis(klubb|forening|sallskap)(en|et)?|pingisklubb(en)?|sportklubb(en)?|foreningen|\b(b ?t ?k|b ?t ?f|b ?t ?s|p ?k|g ?i ?f|a ?i ?s|i ?f|s ?k|ii|iii|iv|[0-9]|vet|ungdom|dam|herr)\b"
+
+
+def club_place(c: Column) -> Column:
+    """A club's name without its legal form, team number and final genitive s, folded."""
+    x = F.regexp_replace(F.regexp_replace(fold(c), _FORMS, " "), " +", "")
+    return F.regexp_replace(F.regexp_replace(x, "s$", ""), r"(.)\1+", "$1")
+
+
+def nearness(a: Column, b: Column) -> Column:
+    """1 less the edit distance as a part of the longer text; null if either is null or empty."""
+    longer = F.greatest(F.length(a), F.length(b))
+    return F.when((F.length(a) > 0) & (F.length(b) > 0), 1 - F.levenshtein(a, b) / longer)

@@ -99,12 +99,12 @@ def licence_day(info: Column) -> Column:
 def link_transitions(changes: DataFrame, persons: DataFrame, transitions: DataFrame, clubs: DataFrame) -> DataFrame:
     """person, season, day: the transition that tells of a change of club.
 
-    changes: person, season, club_before, club. Candidates share the season and either all folded name parts, or the clubs
-    the person left and joined; they are kept if the names agree (edit distance) or name part and year do. The earliest day of the best
-    candidates counts."""
+    changes: person, season, club_before, club and the places in both clubs' names. Candidates share the season and all folded
+    name parts, or both clubs, or a name part with a club or the year; they are scored by name, year and clubs. A transition
+    belongs to its best candidate; of several transitions the earliest day counts."""
     t = transitions.select(
         F.col("row_id").alias("t"), F.coalesce(X.season_start(F.col("season_label")), F.year(F.add_months("transition_date", -6))).alias("season"), F.coalesce(F.year("date_born"), X.year_of(F.col("year_born"))).alias("t_year"),
-        X.token_key(F.concat_ws(" ", "firstname", "lastname")).alias("t_name"), X.skeleton(F.col("club_from")).alias("_f"), X.skeleton(F.col("club_to")).alias("_t"), F.col("transition_date").alias("day"),
+        X.token_key(F.concat_ws(" ", "firstname", "lastname")).alias("t_name"), X.skeleton(F.col("club_from")).alias("_f"), X.skeleton(F.col("club_to")).alias("_t"), X.club_place(F.col("club_from")).alias("t_from_place"), X.club_place(F.col("club_to")).alias("t_to_place"), F.col("transition_date").alias("day"),
     )
     t = t.join(clubs.select(F.col("club_key").alias("_f"), F.col("club").alias("t_from")), "_f", "left").join(clubs.select(F.col("club_key").alias("_t"), F.col("club").alias("t_to")), "_t", "left")
     ev = changes.join(persons, "person")
@@ -114,18 +114,29 @@ def link_transitions(changes: DataFrame, persons: DataFrame, transitions: DataFr
         .unionByName(ev.filter("club_before is not null").select("*", F.concat_ws("|", F.lit("c"), "season", "club_before", "club").alias("k")))
         .unionByName(ev.withColumn("_p", part(F.col("name_key"))).select(*ev.columns, F.concat_ws("|", F.lit("p"), "season", "club", "_p").alias("k")))
         .unionByName(ev.filter("club_before is not null").withColumn("_p", part(F.col("name_key"))).select(*ev.columns, F.concat_ws("|", F.lit("p"), "season", "club_before", "_p").alias("k")))
+        .unionByName(ev.filter("year is not null").select("*", F.concat_ws("|", F.lit("to"), "season", "year", "club").alias("k")))
+        .unionByName(ev.filter("year is not null").select("*", F.concat_ws("|", F.lit("from"), "season", "year", "club_before").alias("k")))
+        .unionByName(ev.filter("year is not null").withColumn("_p", part(F.col("name_key"))).select(*ev.columns, F.concat_ws("|", F.lit("y"), "season", "year", "_p").alias("k")))
     )
     t_keys = (
         t.select("*", F.concat_ws("|", F.lit("n"), "season", "t_name").alias("k"))
         .unionByName(t.filter("t_from is not null and t_to is not null").select("*", F.concat_ws("|", F.lit("c"), "season", "t_from", "t_to").alias("k")))
         .unionByName(t.filter("t_to is not null").withColumn("_p", part(F.col("t_name"))).select(*t.columns, F.concat_ws("|", F.lit("p"), "season", "t_to", "_p").alias("k")))
         .unionByName(t.filter("t_from is not null").withColumn("_p", part(F.col("t_name"))).select(*t.columns, F.concat_ws("|", F.lit("p"), "season", "t_from", "_p").alias("k")))
+        .unionByName(t.filter("t_year is not null").select("*", F.concat_ws("|", F.lit("to"), "season", "t_year", "t_to").alias("k")).filter("t_to is not null"))
+        .unionByName(t.filter("t_year is not null and t_from is not null").select("*", F.concat_ws("|", F.lit("from"), "season", "t_year", "t_from").alias("k")))
+        .unionByName(t.filter("t_year is not null").withColumn("_p", part(F.col("t_name"))).select(*t.columns, F.concat_ws("|", F.lit("y"), "season", "t_year", "_p").alias("k")))
     )
     pairs = ev_keys.join(t_keys.drop("season"), "k").dropDuplicates(["person", "season", "t", "club"])
-    near = 1 - F.levenshtein("name_key", "t_name") / F.greatest(F.length("name_key"), F.length("t_name"), F.lit(1))
-    shared = F.size(F.array_intersect(F.split("name_key", " "), F.split("t_name", " ")))
-    score = near * 3 + F.least(shared, F.lit(2)) + F.coalesce((F.abs(F.col("year") - F.col("t_year")) <= 1).cast("int"), F.lit(0)) + F.when(F.col("t_to") == F.col("club"), 1).when(F.col("t_to").isNotNull(), -1).otherwise(0) + F.when(F.col("t_from") == F.col("club_before"), 1).when(F.col("t_from").isNotNull(), -1).otherwise(0)
-    good = pairs.withColumn("score", score).filter((F.col("score") >= 4) & ((F.col("t_year").isNull()) | F.col("year").isNull() | (F.abs(F.col("year") - F.col("t_year")) <= 1) | (shared >= 2)))
+    near = X.nearness(F.col("name_key"), F.col("t_name"))
+    shared = F.least(F.size(F.array_intersect(F.split("name_key", " "), F.split("t_name", " "))), F.lit(2))
+    year = F.when(F.abs(F.col("year") - F.col("t_year")) <= 1, 1).when(F.col("year").isNotNull() & F.col("t_year").isNotNull(), -1).otherwise(0)
+    joined = F.when(F.col("t_to") == F.col("club"), 1).when(X.nearness(F.col("t_to_place"), F.col("place")) >= 0.7, 1).otherwise(-1)
+    left = F.when(F.col("t_from") == F.col("club_before"), 1).when(X.nearness(F.col("t_from_place"), F.col("place_before")) >= 0.7, 1).otherwise(-1)
+    pairs = pairs.withColumn("_year", year).withColumn("_clubs", F.coalesce(joined, F.lit(0)) + F.coalesce(left, F.lit(0))).withColumn("_shared", shared)
+    good = pairs.withColumn("score", near * 3 + F.col("_shared") + F.col("_year") + F.col("_clubs"))
+    told = F.col("_shared") + F.col("_year")
+    good = good.filter(((F.col("_clubs") > 0) & ((told >= 2) | (told >= 1) & (near >= 0.5))) | ((F.col("_clubs") == 0) & ((told >= 3) | (near >= 0.8) & (F.col("_year") >= 0))))
     best_t = good.groupBy("t").agg(F.max_by(F.struct("person", "season", "club", "day", "score"), F.struct("score", "person")).alias("b"))
     return best_t.select("b.*").groupBy("person", "season", "club").agg(F.min("day").alias("day"))
 
@@ -144,7 +155,10 @@ def club_history(raw: DataFrame, transitions: DataFrame) -> DataFrame:
     versions = stash(versions.withColumn("club_before", F.lag("club").over(w)), "versions")
     persons = _majority(lic, ["person"], "name_key", "name_key").join(_majority(lic, ["person"], "year", "year"), "person", "left")
     clubs = _majority(lic.filter("club_key <> ''"), ["club_key"], "club", "club")
-    days = link_transitions(versions.filter("club_before is not null").select("person", "season", "club_before", "club"), persons, transitions, clubs)
+    places = _majority(lic.withColumn("_place", X.club_place(F.col("club_name"))), ["club"], "_place", "place")
+    changes = versions.filter("club_before is not null").join(places, "club", "left").join(places.select(F.col("club").alias("club_before"), F.col("place").alias("place_before")), "club_before", "left")
+    days = link_transitions(changes.select("person", "season", "club_before", "club", "place", "place_before"), persons, transitions, clubs)
+#.filter("club_before is not null").select("person", "season", "club_before", "club"), persons, transitions, clubs)
     out = versions.join(days, ["person", "season", "club"], "left")
     valid_from = F.when(F.col("club_before").isNotNull(), F.col("day"))
     out = out.withColumn("valid_from", F.coalesce(valid_from, F.make_date("season", F.lit(7), F.lit(1))))
