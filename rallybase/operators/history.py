@@ -108,25 +108,17 @@ def link_transitions(changes: DataFrame, persons: DataFrame, transitions: DataFr
     )
     t = t.join(clubs.select(F.col("club_key").alias("_f"), F.col("club").alias("t_from")), "_f", "left").join(clubs.select(F.col("club_key").alias("_t"), F.col("club").alias("t_to")), "_t", "left")
     ev = changes.join(persons, "person")
-    part = lambda name: F.explode(F.array_distinct(F.split(name, " ")))
-    ev_keys = (
-        ev.select("*", F.concat_ws("|", F.lit("n"), "season", "name_key").alias("k"))
-        .unionByName(ev.filter("club_before is not null").select("*", F.concat_ws("|", F.lit("c"), "season", "club_before", "club").alias("k")))
-        .unionByName(ev.withColumn("_p", part(F.col("name_key"))).select(*ev.columns, F.concat_ws("|", F.lit("p"), "season", "club", "_p").alias("k")))
-        .unionByName(ev.filter("club_before is not null").withColumn("_p", part(F.col("name_key"))).select(*ev.columns, F.concat_ws("|", F.lit("p"), "season", "club_before", "_p").alias("k")))
-        .unionByName(ev.filter("year is not null").select("*", F.concat_ws("|", F.lit("to"), "season", "year", "club").alias("k")))
-        .unionByName(ev.filter("year is not null").select("*", F.concat_ws("|", F.lit("from"), "season", "year", "club_before").alias("k")))
-        .unionByName(ev.filter("year is not null").withColumn("_p", part(F.col("name_key"))).select(*ev.columns, F.concat_ws("|", F.lit("y"), "season", "year", "_p").alias("k")))
-    )
-    t_keys = (
-        t.select("*", F.concat_ws("|", F.lit("n"), "season", "t_name").alias("k"))
-        .unionByName(t.filter("t_from is not null and t_to is not null").select("*", F.concat_ws("|", F.lit("c"), "season", "t_from", "t_to").alias("k")))
-        .unionByName(t.filter("t_to is not null").withColumn("_p", part(F.col("t_name"))).select(*t.columns, F.concat_ws("|", F.lit("p"), "season", "t_to", "_p").alias("k")))
-        .unionByName(t.filter("t_from is not null").withColumn("_p", part(F.col("t_name"))).select(*t.columns, F.concat_ws("|", F.lit("p"), "season", "t_from", "_p").alias("k")))
-        .unionByName(t.filter("t_year is not null").select("*", F.concat_ws("|", F.lit("to"), "season", "t_year", "t_to").alias("k")).filter("t_to is not null"))
-        .unionByName(t.filter("t_year is not null and t_from is not null").select("*", F.concat_ws("|", F.lit("from"), "season", "t_year", "t_from").alias("k")))
-        .unionByName(t.filter("t_year is not null").withColumn("_p", part(F.col("t_name"))).select(*t.columns, F.concat_ws("|", F.lit("y"), "season", "t_year", "_p").alias("k")))
-    )
+
+    def keys(name: str, year: str, left: str, joined: str) -> Column:
+        """All keys of a row; those that lack a part are null and go."""
+        parts = F.split(name, " ")
+        key = lambda kind, *cols: F.concat(F.lit(kind), *[F.concat(F.lit("|"), F.col(c) if isinstance(c, str) else c) for c in ("season", *cols)])
+        by_part = lambda kind, c: F.transform(parts, lambda p: key(kind, c, p))
+        whole = F.array(key("n", name), key("c", left, joined), key("to", year, joined), key("from", year, left))
+        return F.explode(F.array_distinct(F.array_compact(F.concat(whole, by_part("p", left), by_part("p", joined), by_part("y", year)))))
+
+    ev_keys = stash(ev, "changes").withColumn("k", keys("name_key", "year", "club_before", "club"))
+    t_keys = stash(t, "transitions").withColumn("k", keys("t_name", "t_year", "t_from", "t_to"))
     pairs = ev_keys.join(t_keys.drop("season"), "k").dropDuplicates(["person", "season", "t", "club"])
     near = X.nearness(F.col("name_key"), F.col("t_name"))
     shared = F.least(F.size(F.array_intersect(F.split("name_key", " "), F.split("t_name", " "))), F.lit(2))
