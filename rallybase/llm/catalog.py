@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import mixing, residue
+from . import leakage, mixing, residue
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "bench_item")).filter("leaked").select("doc_id", "item_id").distinct()
+
+
+def p8_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """All candidates with their figures."""
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "bench_item"))
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -34,7 +43,7 @@ def p10_residue_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
+    return {f.__name__: f for f in (p8_found, p8_candidates, p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
 
 
 def oracle_sql() -> dict[str, str]:
