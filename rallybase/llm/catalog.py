@@ -6,7 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import leakage, mixing, residue
+from . import leakage, mixing, people, residue
+
+
+def _spellings(spark: SparkSession, d: str) -> DataFrame:
+    """table_name, field_name, row_id, entity_key, typed, registered spellings of every linked text."""
+    matches, moves, clubs = table(spark, d, "tournament_class_match_raw"), table(spark, d, "player_transition_raw"), table(spark, d, "club")
+    texts = matches.select(F.col("s1_clubname_raw").alias("text")).unionByName(moves.select(F.col("club_from").alias("text")))
+    lic, persons, spellings, club_of = people.registry(table(spark, d, "player_license_raw"), clubs, texts)
+    in_line = F.nullif(F.regexp_extract("raw_line_text", r"^\s*[0-9]+\s+([0-9]+)\s", 1), F.lit(""))
+    number = F.coalesce(F.nullif(F.trim("s1_player_id_ext"), F.lit("")), in_line)
+    rows = matches.join(club_of.withColumnRenamed("text", "s1_clubname_raw"), "s1_clubname_raw", "left")
+    rows = rows.select("row_id", F.col("s1_fullname_raw").alias("name"), "club_id", F.when(number.isNotNull(), F.concat_ws("|", F.coalesce("data_source_id", F.lit(0)).cast("string"), "tournament_id_ext", F.col("tournament_class_id_ext"), number)).alias("grp"))
+    person_clubs = lic.filter("person is not null and club_id is not null").select("person", "club_id").distinct()
+    linked = people.link_names(rows, persons, spellings, person_clubs)
+    names = matches.select("row_id", F.col("s1_fullname_raw").alias("typed")).join(linked, "row_id").join(persons.select("person", F.array("registered").alias("registered")), "person")
+    out = names.select(F.lit("tournament_class_match_raw").alias("table_name"), F.lit("s1_fullname_raw").alias("field_name"), "row_id", F.col("person").alias("entity_key"), "typed", "registered")
+    reg = clubs.select("club_id", F.array("shortname", "longname").alias("registered"))
+    for df, name, field in ((matches, "tournament_class_match_raw", "s1_clubname_raw"), (moves, "player_transition_raw", "club_from")):
+        told = df.select("row_id", F.col(field).alias("text")).join(club_of, "text").join(reg, "club_id")
+        out = out.unionByName(told.select(F.lit(name).alias("table_name"), F.lit(field).alias("field_name"), "row_id", F.col("club_id").cast("string").alias("entity_key"), F.col("text").alias("typed"), "registered"))
+    return out
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    other = ~F.exists("registered", lambda r: F.coalesce(r == F.col("typed"), F.lit(False)))
+    return _spellings(spark, d).filter(other).select("table_name", "field_name", "row_id", "entity_key").distinct()
+
+
+def p4_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every linked text, registered spellings included."""
+    return _spellings(spark, d)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -43,7 +73,7 @@ def p10_residue_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p8_found, p8_candidates, p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
+    return {f.__name__: f for f in (p4_found, p4_links, p8_found, p8_candidates, p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
 
 
 def oracle_sql() -> dict[str, str]:
