@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import leakage, mixing, people, residue
+from . import leakage, linkage, mixing, people, residue
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_links(spark, d).filter("player_id_ext is not null").select("transition_row_id", "player_id_ext").distinct()
+
+
+def p2_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every transition with its person and the confidence, or without one."""
+    linked = linkage.link_transitions(table(spark, d, "player_transition_raw"), table(spark, d, "player_license_raw"), table(spark, d, "club"))
+    return linked.select(F.col("row_id").alias("transition_row_id"), F.col("person").alias("player_id_ext"), F.round("confidence", 6).alias("confidence"), *linkage.VOTERS)
 
 
 def _spellings(spark: SparkSession, d: str) -> DataFrame:
@@ -73,7 +83,7 @@ def p10_residue_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p4_found, p4_links, p8_found, p8_candidates, p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
+    return {f.__name__: f for f in (p2_found, p2_links, p4_found, p4_links, p8_found, p8_candidates, p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
 
 
 def oracle_sql() -> dict[str, str]:
