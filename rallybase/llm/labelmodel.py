@@ -67,26 +67,30 @@ class LabelModel:
         return parent
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.odds(patterns), -50, 50)))
+
+    def odds(self, patterns: np.ndarray) -> np.ndarray:
+        """Logarithm of the odds of a match: tells near-certain candidates apart where the probability can't."""
         v = patterns.astype(int) + 1
         odds = np.full(len(v), np.log(self.pi / (1 - self.pi)))
         for j, p in enumerate(self.parent):
             seen = v[:, p] if p >= 0 else np.zeros(len(v), int)
             odds += self.tables[j][1][seen, v[:, j]] - self.tables[j][0][seen, v[:, j]]
-        return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+        return odds
 
 
 def with_confidence(pairs: DataFrame, voters: list[str], out: str = "confidence", start: dict[str, float] | None = None) -> DataFrame:
-    """pairs with the posterior probability of a match. Null votes abstain. start: weights of the voters for the first guess."""
+    """pairs with the posterior probability of a match and its log odds. Null votes abstain. start: weights of the voters for the first guess."""
     if len(voters) > MAX_VOTERS:
         raise ValueError(f"at most {MAX_VOTERS} voters")
     filled = pairs.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in voters})
     rows = filled.groupBy(*voters).agg(F.count(F.lit(1)).alias("_n")).collect()  # at most 3^voters rows
     if not rows:
-        return filled.withColumn(out, F.lit(None).cast("double"))
+        return filled.withColumn(out, F.lit(None).cast("double")).withColumn(f"{out}_odds", F.lit(None).cast("double"))
     patterns, counts = np.array([[r[c] for c in voters] for r in rows]), np.array([float(r["_n"]) for r in rows])
     first = None
     if start:
         first = 1 / (1 + np.exp(-(patterns @ np.array([start.get(c, 0.0) for c in voters]) - start.get("", 0.0))))
-    told = LabelModel().fit(patterns, counts, first).posterior(patterns)
-    table = pairs.sparkSession.createDataFrame([(*map(int, p), float(t)) for p, t in zip(patterns, told, strict=True)], ", ".join(f"{c} int" for c in voters) + f", {out} double")
+    model = LabelModel().fit(patterns, counts, first)
+    table = pairs.sparkSession.createDataFrame([(*map(int, p), float(t), float(o)) for p, t, o in zip(patterns, model.posterior(patterns), model.odds(patterns), strict=True)], ", ".join(f"{c} int" for c in voters) + f", {out} double, {out}_odds double")
     return filled.join(F.broadcast(table), voters)  # at most 3^voters rows
