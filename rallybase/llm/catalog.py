@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import stash, table
 from . import leakage, linkage, mixing, people, residue
 
 
@@ -26,15 +26,17 @@ def _spellings(spark: SparkSession, d: str) -> DataFrame:
     lic, persons, spellings, club_of = people.registry(table(spark, d, "player_license_raw"), clubs, texts)
     in_line = F.nullif(F.regexp_extract("raw_line_text", r"^\s*[0-9]+\s+([0-9]+)\s", 1), F.lit(""))
     number = F.coalesce(F.nullif(F.trim("s1_player_id_ext"), F.lit("")), in_line)
-    rows = matches.join(club_of.withColumnRenamed("text", "s1_clubname_raw"), "s1_clubname_raw", "left")
-    rows = rows.select("row_id", F.col("s1_fullname_raw").alias("name"), "club_id", F.when(number.isNotNull(), F.concat_ws("|", F.coalesce("data_source_id", F.lit(0)).cast("string"), "tournament_id_ext", F.col("tournament_class_id_ext"), number)).alias("grp"))
-    person_clubs = lic.filter("person is not null and club_id is not null").select("person", "club_id").distinct()
+    grp = F.when(number.isNotNull(), F.xxhash64("data_source_id", "tournament_id_ext", "tournament_class_id_ext", number))
+    rows = matches.select("row_id", F.col("s1_fullname_raw").alias("name"), F.col("s1_clubname_raw").alias("text"), grp.alias("grp")).join(club_of, "text", "left")
+    rows = stash(rows, "rows")
+    person_clubs = stash(lic.filter("person is not null and club_id is not null").select("person", "club_id").distinct(), "personclubs")
     linked = people.link_names(rows, persons, spellings, person_clubs)
-    names = matches.select("row_id", F.col("s1_fullname_raw").alias("typed")).join(linked, "row_id").join(persons.select("person", F.array("registered").alias("registered")), "person")
+    names = rows.select("row_id", F.col("name").alias("typed")).join(linked, "row_id").join(persons.select("person", F.array("registered").alias("registered")), "person")
     out = names.select(F.lit("tournament_class_match_raw").alias("table_name"), F.lit("s1_fullname_raw").alias("field_name"), "row_id", F.col("person").alias("entity_key"), "typed", "registered")
     reg = clubs.select("club_id", F.array("shortname", "longname").alias("registered"))
-    for df, name, field in ((matches, "tournament_class_match_raw", "s1_clubname_raw"), (moves, "player_transition_raw", "club_from")):
-        told = df.select("row_id", F.col(field).alias("text")).join(club_of, "text").join(reg, "club_id")
+    moved = moves.select("row_id", F.col("club_from").alias("text")).join(club_of, "text")
+    for df, name, field in ((rows.filter("club_id is not null"), "tournament_class_match_raw", "s1_clubname_raw"), (moved, "player_transition_raw", "club_from")):
+        told = df.select("row_id", "text", "club_id").join(reg, "club_id")
         out = out.unionByName(told.select(F.lit(name).alias("table_name"), F.lit(field).alias("field_name"), "row_id", F.col("club_id").cast("string").alias("entity_key"), F.col("text").alias("typed"), "registered"))
     return out
 

@@ -11,10 +11,12 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
 from ..session import stash
 
@@ -66,8 +68,17 @@ def registered_forms(first: str | None, last: str | None) -> set[str]:
     return out
 
 
+def exact_forms(text: str | None) -> dict[str, float]:
+    """Only the forms that rewrite a name whole: order of parts, nicknames, left-out parts."""
+    return {k: w for k, w in _versions(text, False).items() if k[0] == "x"}
+
+
 def typed_forms(text: str | None) -> dict[str, float]:
-    """Forms of a name as typed, with the weight of the rewriting: any order of parts, any one part (or the last two of four) left out."""
+    """All forms of a name as typed, with the weight of the rewriting: any order of the parts, any one part left out."""
+    return _versions(text, True)
+
+
+def _versions(text: str | None, errors: bool) -> dict[str, float]:
     ts = tokens(text)
     out: dict[str, float] = {}
     if not 2 <= len(ts) <= 6:
@@ -83,14 +94,14 @@ def typed_forms(text: str | None) -> dict[str, float]:
             else:
                 for full in _NICK.get(f, ()):
                     new[f"x|{full}|{l}"] = WEIGHTS["n"]
-                    for d in shorter(l):
+                    for d in shorter(l) if errors and w == 1.0 else ():
                         new.setdefault(f"e|{full}|{d}", WEIGHTS["n"] * WEIGHTS["e"])
                 new[f"h|{f[:2]}|{l}"] = WEIGHTS["h"]
                 if len(l) >= 4:
                     new[f"p|{f}|{l}"] = WEIGHTS["p"]
-                for d in shorter(l):
+                for d in shorter(l) if errors else ():
                     new[f"e|{f}|{d}"] = WEIGHTS["e"]
-                for d in shorter(f):
+                for d in shorter(f) if errors else ():
                     new[f"g|{d}|{l}"] = WEIGHTS["e"]
             for k, x in new.items():
                 out[k] = max(out.get(k, 0.0), x * w)
@@ -207,8 +218,8 @@ def club_typed_forms(text: str | None) -> dict[str, float]:
 
 
 def explode_forms(df: DataFrame, key: list[str], args: list[str], forms: Callable, weighted: bool) -> DataFrame:
-    """key, form (and weight): one row per form of each name. A map in Arrow batches; names are cached within a batch."""
-    schema = T.StructType([df.schema[k] for k in key] + [T.StructField("form", T.StringType())] + ([T.StructField("weight", T.DoubleType())] if weighted else []))
+    """key, form (a 64-bit hash of it) and weight: one row per form of each name. A map in Arrow batches."""
+    schema = T.StructType([df.schema[k] for k in key] + [T.StructField("form", T.LongType())] + ([T.StructField("weight", T.FloatType())] if weighted else []))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for pdf in batches:
@@ -218,36 +229,66 @@ def explode_forms(df: DataFrame, key: list[str], args: list[str], forms: Callabl
                 for i, values in enumerate(zip(*[part[a] for a in args], strict=True)):
                     got = forms(*[None if v is None or v != v else v for v in values])
                     at += [i] * len(got)
-                    out += list(got)
+                    out += [xxh64_intdigest(x) for x in got]
                     if weighted:
                         weights += list(got.values())
                 res = part[key].iloc[at].reset_index(drop=True)
-                res["form"] = pd.Series(out, dtype=object)
+                res["form"] = np.array(out, dtype="uint64").view("int64")
                 if weighted:
-                    res["weight"] = pd.Series(weights, dtype="float64")
+                    res["weight"] = np.array(weights, dtype="float32")
                 yield res
 
     return df.select(*dict.fromkeys(key + args)).mapInPandas(run, schema)
 
 
+MAX_CLUBS = 5_000  # registries of clubs up to this size go to every worker; larger ones are joined
+
+
+def match_clubs(texts: DataFrame, registry: DataFrame) -> DataFrame:
+    """text, club_id, score (weight of the best shared form), far (least edit distance to a name of the club), one row per club that
+    shares a form with the text."""
+    if registry.select("club_id").distinct().count() > MAX_CLUBS:
+        reg = stash(explode_forms(registry, ["club_id"], ["name"], club_registered_forms, False).distinct(), "clubforms")
+        best = explode_forms(texts, ["text"], ["text"], club_typed_forms, True).join(reg, "form").groupBy("text", "club_id").agg(F.max("weight").cast("double").alias("score"))
+        return _name_distance(best.join(registry.groupBy("club_id").agg(F.collect_set("name").alias("names")), "club_id")).select("text", "club_id", "score", "far")
+    known = [(r["club_id"], r["name"]) for r in registry.select("club_id", "name").collect()]
+    schema = T.StructType([T.StructField("text", T.StringType()), registry.schema["club_id"], T.StructField("score", T.DoubleType()), T.StructField("far", T.IntegerType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        of: dict[str, set[int]] = {}
+        names: dict[int, set[str]] = {}
+        for club, name in known:
+            names.setdefault(club, set()).add("".join(club_name(name)))
+            for f in club_registered_forms(name):
+                of.setdefault(f, set()).add(club)
+        for pdf in batches:
+            rows = []
+            for text in pdf["text"]:
+                best: dict[int, float] = {}
+                for f, w in club_typed_forms(text).items():
+                    for club in of.get(f, ()):
+                        best[club] = max(best.get(club, 0.0), w)
+                if best:
+                    j = "".join(club_name(text))
+                    rows += [(text, c, w, min(distance(j, n, 6) for n in names[c])) for c, w in best.items()]
+            yield pd.DataFrame(rows, columns=schema.names)
+
+    return texts.select("text").mapInPandas(run, schema)
+
+
 def resolve_clubs(texts: DataFrame, clubs: DataFrame, unknown: int = 9999) -> DataFrame:
     """text, club_id, score for every distinct text in texts (column text) that can be told.
 
     clubs: club_id, shortname, longname, remarks (former names after "tidigare"). The best rewriting wins; among clubs that share
     it the text is told only if one is nearest, else it is left out. Null and empty texts and the unknown club give no row.
     """
-    spark = texts.sparkSession
     name = F.explode(F.array("shortname", "longname", F.nullif(F.trim(F.regexp_extract(F.coalesce("remarks", F.lit("")), r"(?i)tidigare\s+(.+)$", 1)), F.lit("")), F.col("shortname")))
     registry = clubs.filter(F.col("club_id") != unknown).select("club_id", name.alias("name")).filter("name is not null").distinct()
-    reg = stash(explode_forms(registry, ["club_id", "name"], ["name"], club_registered_forms, False), "clubforms").select("form", "club_id").distinct()
     exact = registry.select(F.col("name").alias("text"), "club_id").groupBy("text").agg(F.min("club_id").alias("club_id"), F.countDistinct("club_id").alias("n")).filter("n = 1").select("text", "club_id", F.lit(2.0).alias("score"))
     texts = stash(texts.filter("text is not null").select("text").distinct(), "clubtexts")
     told = texts.join(exact, "text")
     rest = texts.join(exact, "text", "left_anti")
-    pairs = explode_forms(rest, ["text"], ["text"], club_typed_forms, True).join(reg, "form")
-    best = pairs.groupBy("text", "club_id").agg(F.max("weight").alias("score"))
-    places = registry.groupBy("club_id").agg(F.collect_set("name").alias("names"))
-    near = _name_distance(best.join(places, "club_id"))
+    near = match_clubs(rest, registry)
     top = near.groupBy("text").agg(F.max_by(F.struct("club_id", "score"), F.struct("score", -F.col("far"), -F.col("club_id"))).alias("b"), F.max(F.struct("score", -F.col("far"))).alias("m"), F.collect_list(F.struct("score", (-F.col("far")).alias("f"))).alias("all"))
     told2 = top.filter(F.size(F.filter("all", lambda a: (a["score"] == F.col("b.score")) & (a["f"] == F.element_at(F.array_sort(F.transform(F.filter("all", lambda c: c["score"] == F.col("b.score")), lambda c: c["f"])), -1)))) == 1)
     return told.unionByName(told2.select("text", F.col("b.club_id").alias("club_id"), F.col("b.score").alias("score")))
