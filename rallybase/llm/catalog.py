@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stash, table
-from . import leakage, linkage, mixing, people, residue
+from . import incremental, leakage, linkage, mixing, people, residue, survivor
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -19,6 +19,25 @@ def p2_links(spark: SparkSession, d: str) -> DataFrame:
     return linked.select(F.col("row_id").alias("transition_row_id"), F.col("person").alias("player_id_ext"), F.round("confidence", 6).alias("confidence"), *linkage.VOTERS)
 
 
+def _members(spark: SparkSession, d: str) -> DataFrame:
+    players = table(spark, d, "player")
+    return stash(players.join(survivor.group_players(players), "player_id"), "members")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    members = _members(spark, d)
+    best = survivor.surviving_records(members, "player_id", [], "is_verified", "date_born", "row_updated").select("group_id", F.col("player_id").alias("survivor_player_id"))
+    return members.join(best, "group_id").filter("player_id <> survivor_player_id").select("player_id", "survivor_player_id").distinct()
+
+
+def p3_records(spark: SparkSession, d: str) -> DataFrame:
+    """One surviving record per person, with the best known values."""
+    spaced = F.coalesce(F.when(F.col("firstname").isNotNull() & F.col("lastname").isNotNull(), F.concat_ws(" ", "firstname", "lastname")), F.col("fullname_raw"))
+    day = F.when(~F.col("date_born").rlike("-01-01$"), F.col("date_born"))
+    members = _members(spark, d).withColumn("name", spaced).withColumn("born", F.col("date_born")).withColumn("date_born", day)
+    return survivor.surviving_records(members, "player_id", ["name", "year_born", "date_born", "is_verified"], "is_verified", "born", "row_updated").drop("group_id")
+
+
 def _spellings(spark: SparkSession, d: str) -> DataFrame:
     """table_name, field_name, row_id, entity_key, typed, registered spellings of every linked text."""
     matches, moves, clubs = table(spark, d, "tournament_class_match_raw"), table(spark, d, "player_transition_raw"), table(spark, d, "club")
@@ -51,6 +70,12 @@ def p4_links(spark: SparkSession, d: str) -> DataFrame:
     return _spellings(spark, d)
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    mapping = incremental.replay(spark, table(spark, d, "player_license_raw")).mapping
+    first = mapping.select(F.col("row_id").alias("rec"), F.col("day").alias("first_day"))
+    return mapping.join(first, "rec").filter("day > first_day").select(F.col("rec").alias("row_id_a"), F.col("row_id").alias("row_id_b")).distinct()
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "bench_item")).filter("leaked").select("doc_id", "item_id").distinct()
 
@@ -85,7 +110,7 @@ def p10_residue_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_links, p4_found, p4_links, p8_found, p8_candidates, p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
+    return {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_records, p4_found, p4_links, p7_found, p8_found, p8_candidates, p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
 
 
 def oracle_sql() -> dict[str, str]:
