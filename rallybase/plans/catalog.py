@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import records
+from . import analytics, conversions, records
 
-FLAGSHIP = "p1_orphan_report"
-_MODULES = (records,)
+FLAGSHIP = "q_profile_latest"
+_MODULES = (analytics, conversions, records)
 
 
 def queries() -> dict:
