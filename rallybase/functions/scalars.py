@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import difflib
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -178,10 +181,6 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def sequence_ratio(a: Column, b: Column) -> Column:
     """Ratio of matching blocks (2 m / total), as sequence matchers give it; in Arrow batches, as Spark has no such function."""
-    import difflib
-
-    import pandas as pd
-
     @F.pandas_udf("double")
     def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([None if p is None or q is None else difflib.SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y, strict=True)], dtype="float64")

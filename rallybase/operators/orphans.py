@@ -35,7 +35,7 @@ def resolve_references(refs: DataFrame, parents: DataFrame, deletions: DataFrame
         "relation", "key", "_salt", F.lit(1).alias("_kind"), F.col("referred_at").alias("_at"), F.lit(None).cast("timestamp_ntz" if dict(refs.dtypes)["referred_at"] == "timestamp_ntz" else "timestamp").alias("_deleted"), "_own"
     )
     at_type, del_type = stream.schema["_at"].dataType, stream.schema["_deleted"].dataType
-    known = parents.filter(F.col("key").isNotNull()).select("relation", "key", F.lit(0).alias("_kind"), F.coalesce(F.col("valid_from"), F.lit("0001-01-01").cast("timestamp")).cast(at_type).alias("_at"), F.lit(None).cast(del_type).alias("_deleted"))
+    known = parents.filter(F.col("key").isNotNull()).select("relation", "key", F.lit(0).alias("_kind"), F.coalesce(F.col("valid_from"), F.lit("1000-01-01").cast("timestamp")).cast(at_type).alias("_at"), F.lit(None).cast(del_type).alias("_deleted"))
     if deletions is not None:
         known = known.unionByName(deletions.filter(F.col("key").isNotNull()).select("relation", "key", F.lit(0).alias("_kind"), F.lit(None).cast(at_type).alias("_at"), F.col("deleted_at").cast(del_type).alias("_deleted")))
     known = skew.replicate(known, hot, ["relation", "key"]).withColumn("_own", F.lit(None).cast(kind))

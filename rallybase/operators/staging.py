@@ -61,7 +61,7 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], order:
 
 def delete_and_replace(target: DataFrame, source: DataFrame, scope: list[str]) -> DataFrame:
     """All rows of the scopes that source has are replaced by source's rows."""
-    return target.join(source.select(*scope).distinct(), scope, "left_anti").unionByName(source.select(*target.columns))
+    return target.join(source.select(*scope).distinct(), scope, "left_anti").select(*target.columns).unionByName(source.select(*target.columns))
 
 
 def cascade_delete(deleted: DataFrame, key: str, children: list[tuple[DataFrame, str]]) -> list[DataFrame]:
