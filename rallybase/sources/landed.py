@@ -16,7 +16,7 @@ def read_pages(spark: SparkSession, path: str, glob: str = "*.html", fresh_since
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     if fresh_since is not None:
         files = files.filter(F.col("modificationTime") >= fresh_since)
-    return files.select(F.col("path").alias("url"), F.decode("content", F.lit("utf-8")).alias("html"), F.col("modificationTime").alias("modified"))
+    return files.select(F.col("path").alias("url"), F.decode("content", "utf-8").alias("html"), F.col("modificationTime").alias("modified"))
 
 
 def read_documents(spark: SparkSession, path: str, pattern: str = r"class(\d+)_stage(\d+)", signature: str = "%PDF-") -> DataFrame:
