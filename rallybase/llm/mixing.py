@@ -108,7 +108,7 @@ def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: i
         total = min((by_source.get(s, 0) * max(w["max_repeats"] or 0, 0) / w["target_share"] for s, w in want.items()), default=0.0)
     budgets = allocate(leaves, total)
     tokens = {x["key"]: x["tokens"] for x in leaves}
-    plan = [(k[0], k[1], int(b // tokens[k]), float(b - (b // tokens[k]) * tokens[k]), int(want[k[0]]["max_repeats"])) for k, b in budgets.items()]
+    plan = [(k[0], k[1], int(b // tokens[k]), float(b - (b // tokens[k]) * tokens[k]), int(want[k[0]]["max_repeats"] or 0)) for k, b in budgets.items()]
     leaf_plan = F.broadcast(spark.createDataFrame(plan, "source string, language string, epochs int, rest double, most int"))  # at most sources x languages rows
     before = F.coalesce(F.sum("t").over(Window.partitionBy("source", "language").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cut = slices.withColumn("before", before).join(leaf_plan, ["source", "language"])  # at most leaves x SLICES rows

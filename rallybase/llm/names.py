@@ -148,6 +148,7 @@ def _legal_word(w: str) -> str | None:
     return None
 
 
+@lru_cache(50_000)
 def club_name(text: str | None) -> tuple[str, str]:
     """Place and short legal form ('' if there is none) of a club as typed, joined and folded."""
     place: list[str] = []
@@ -245,6 +246,16 @@ def explode_forms(df: DataFrame, key: list[str], args: list[str], forms: Callabl
 MAX_CLUBS = 5_000  # registries of clubs up to this size go to every worker; larger ones are joined
 
 
+def club_distance(text: str | None, names: Iterable[str], most: int = 6) -> int:
+    """The least edit distance to any of a club's names; a text without a legal form is compared with the places as well."""
+    place, short = club_name(text)
+    best = most + 1
+    for n in names:
+        p, s = club_name(n)
+        best = min(best, distance(place + short, p + s, most), *([] if short else [distance(place, p, most)]))
+    return best
+
+
 def match_clubs(texts: DataFrame, registry: DataFrame) -> DataFrame:
     """text, club_id, score (weight of the best shared form), far (least edit distance to a name of the club), one row per club that
     shares a form with the text."""
@@ -259,7 +270,7 @@ def match_clubs(texts: DataFrame, registry: DataFrame) -> DataFrame:
         of: dict[str, set[int]] = {}
         names: dict[int, set[str]] = {}
         for club, name in known:
-            names.setdefault(club, set()).add("".join(club_name(name)))
+            names.setdefault(club, set()).add(name)
             for f in club_registered_forms(name):
                 of.setdefault(f, set()).add(club)
         for pdf in batches:
@@ -269,9 +280,7 @@ def match_clubs(texts: DataFrame, registry: DataFrame) -> DataFrame:
                 for f, w in club_typed_forms(text).items():
                     for club in of.get(f, ()):
                         best[club] = max(best.get(club, 0.0), w)
-                if best:
-                    j = "".join(club_name(text))
-                    rows += [(text, c, w, min(distance(j, n, 6) for n in names[c])) for c, w in best.items()]
+                rows += [(text, c, w, club_distance(text, names[c])) for c, w in best.items()]
             yield pd.DataFrame(rows, columns=schema.names)
 
     return texts.select("text").mapInPandas(run, schema)
@@ -300,13 +309,6 @@ def _name_distance(df: DataFrame) -> DataFrame:
 
     @F.pandas_udf("int")
     def far(text: pd.Series, names: pd.Series) -> pd.Series:
-        cache: dict = {}
-
-        def joined(n: str) -> str:
-            if n not in cache:
-                cache[n] = "".join(club_name(n))
-            return cache[n]
-
-        return pd.Series([min(distance(joined(t), joined(n), 6) for n in ns) for t, ns in zip(text, names, strict=True)], dtype="int32")
+        return pd.Series([club_distance(t, ns) for t, ns in zip(text, names, strict=True)], dtype="int32")
 
     return df.withColumn("far", far("text", "names"))
