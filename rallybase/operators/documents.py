@@ -193,3 +193,60 @@ def report_tokens(reports: DataFrame, schema_id: str = "report_id") -> DataFrame
             yield pd.DataFrame(rows, columns=[schema_id, "match_no", "label", "home", "away", "sets", "standing"])
 
     return reports.select(schema_id, "tokens").mapInPandas(run, f"{schema_id} {kind}, match_no int, label string, home string, away string, sets string, standing string")
+
+
+def date_with_fallback(candidates: DataFrame, keys: list[str], rank: str, day: str, most: int = 3) -> DataFrame:
+    """keys, first, last: the first readable day among the first rows by rank, and the last among the last rows, of which at
+    most `most` from each end are looked at."""
+    from pyspark.sql import Window
+
+    up, down = Window.partitionBy(*keys).orderBy(F.asc(rank)), Window.partitionBy(*keys).orderBy(F.desc(rank))
+    c = candidates.withColumn("_u", F.row_number().over(up)).withColumn("_d", F.row_number().over(down))
+    first = F.min_by(day, F.when((F.col("_u") <= most) & F.col(day).isNotNull(), F.col("_u")))
+    last = F.min_by(day, F.when((F.col("_d") <= most) & F.col(day).isNotNull(), F.col("_d")))
+    return c.groupBy(*keys).agg(first.alias("first"), last.alias("last"))
+
+
+def knockout_size(title: Column) -> Column:
+    """The tree size in a title like Schema-16."""
+    return F.nullif(F.regexp_extract(title, r"(?i)schema\s*-\s*(\d+)", 1), F.lit("")).try_cast("int")
+
+
+def split_at_widest_gap(boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """boxes with part 1 or 2: left and right of the widest gap between neighbouring boxes of a line."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*keys).orderBy("x0", "text")
+    gap = F.lead("x0").over(w) - F.col("x1")
+    b = boxes.withColumn("_gap", gap)
+    cut = b.groupBy(*keys).agg(F.max_by("x0", F.struct(F.col("_gap"), -F.col("x0"))).alias("_cut"))
+    return b.join(cut, keys, "left").withColumn("part", F.when(F.col("x0") <= F.col("_cut"), 1).otherwise(2)).drop("_gap", "_cut")
+
+
+def missing_year(day: Column, month: Column, season_start: Column) -> Column:
+    """A date without its year: from July on in the first year of the season, before in the second."""
+    year = F.when(month < 7, season_start + 1).otherwise(season_start)
+    return F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+
+
+def placeholder_entries(sides: DataFrame, placeholder: str = r"(?i)\b(vakant|wo|vacant|reserve)\b") -> DataFrame:
+    """class_id, entry_id, player_id: one entry of the unknown player for each class that has a placeholder among its sides."""
+    from ..lookups import UNKNOWN_PLAYER
+
+    held = sides.filter(F.col("name").rlike(placeholder)).select("class_id").distinct()
+    return held.select("class_id", (-F.shiftrightunsigned(F.xxhash64("class_id", F.lit("placeholder")), 1)).alias("entry_id"), F.lit(UNKNOWN_PLAYER).cast("long").alias("player_id"))
+
+
+def unseen(fixtures: DataFrame, seen: DataFrame, key: str, day: str, since: Column) -> DataFrame:
+    """Fixtures to read: those on or after since, and older ones that were never read."""
+    old = fixtures.filter(F.col(day) < since).join(seen.select(key).distinct(), key, "left_anti")
+    return fixtures.filter((F.col(day) >= since) | F.col(day).isNull()).unionByName(old)
+
+
+def copy_checked(df: DataFrame, path: str) -> int:
+    """Writes a table and counts what was written; a difference is an error."""
+    df.write.mode("errorifexists").parquet(path)
+    wrote, had = df.sparkSession.read.parquet(path).count(), df.count()
+    if wrote != had:
+        raise ValueError(f"{had} rows became {wrote}")
+    return wrote
