@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import analytics, conversions, records
+from . import analytics, conversions, records, resolution
 
 FLAGSHIP = "q_profile_latest"
-_MODULES = (analytics, conversions, records)
+_MODULES = (analytics, conversions, resolution, records)
 
 
 def queries() -> dict:

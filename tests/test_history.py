@@ -57,3 +57,26 @@ def test_merkle_finds_exactly_the_changes(spark):
     got = sorted((r["snap"], r["key"], r["state"], r["state_before"]) for r in history.diff_snapshots(snaps).filter("snap > 1").collect())
     assert got == [(2, "17", "b", "a"), (3, "500", "b", "a")]
     assert history.diff_snapshots(snaps.limit(0)).count() == 0
+
+
+def test_random_histories_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    rows, want, n = [], set(), 0
+    for p in range(150):
+        held, seasons = None, sorted(rng.sample(range(2014, 2024), rng.randint(1, 7)))
+        for s in seasons:
+            clubs = rng.sample(["10", "20", "30"], 1 if rng.random() < 0.7 else 2)
+            days = {c: f"{s}.0{rng.randint(7, 9)}.1{i}" for i, c in enumerate(clubs)}
+            for c in clubs:
+                for _ in range(rng.randint(1, 2)):
+                    n += 1
+                    rows.append(lic(n, f"{s}-{(s + 1) % 100:02d}", c, person=str(1000 + p), first=f"F{p}", last=f"L{p}", day=days[c]))
+            order = sorted(clubs, key=lambda c: (c != held, days[c]))
+            for c in order:
+                if c != held:
+                    want.add((str(1000 + p), c, f"{s}-07-01"))
+                held = c
+    rng.shuffle(rows)
+    assert {v[:3] for v in versions(spark, rows)} == want
