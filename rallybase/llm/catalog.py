@@ -114,4 +114,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p10_found": residue.as_sql()}
