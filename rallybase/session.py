@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STASHED: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's spark.checkpoint.dir; only where that is unset, a temporary one."""
@@ -23,6 +25,7 @@ def stash(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STASHED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -32,3 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def drop_stashed(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this application. DataFrames that still read them fail afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _STASHED:
+        path = jvm.org.apache.hadoop.fs.Path(_STASHED.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from rallybase import audit, schemas
 from rallybase.operators import skew
 from rallybase.plans import publication as P
-from rallybase.session import shared_dir, stash
+from rallybase.session import drop_stashed, shared_dir, stash
 from rallybase.sources import landed
 from rallybase.streaming import staging
 
@@ -114,3 +114,13 @@ def test_session(spark):
     assert stash(spark.range(3)).count() == 3
     assert stash(spark.range(0)).count() == 0
     assert skew.hot_keys(spark.range(0).withColumnRenamed("id", "k"), ["k"]).count() == 0
+
+
+def test_drop_stashed(spark):
+    import os
+
+    kept = stash(spark.range(3), "kept")
+    path = kept.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    assert os.path.exists(path)
+    drop_stashed(spark)
+    assert not os.path.exists(path)
