@@ -30,10 +30,10 @@ MAX_SHARED = 40  # a form that more persons share tells nobody apart without a c
 #: Swedish nicknames and the names they stand for.
 NICKNAMES: dict[str, tuple[str, ...]] = {
     "abbe": ("albert", "albin"), "affe": ("alfred",), "alex": ("alexander", "alexandra"), "anki": ("annkristin", "annika", "annakarin", "ann"), "anna": ("annakarin",), "babben": ("barbro",), "basse": ("sebastian",), "bea": ("beatrice",), "benja": ("benjamin",), "benke": ("bengt",), "berra": ("bertil",), "bettan": ("elisabet",), "bibbi": ("birgitta",), "bobo": ("bo",), "bosse": ("bo",), "brittan": ("birgitta", "brittmarie"), "britta": ("birgitta", "brittmarie"),
-    "cale": ("carl",), "calle": ("carl", "karljohan", "karl"), "charlie": ("charlotta",), "chrille": ("christer", "christian"), "cissi": ("cecilia",), "crille": ("christer", "christian"), "danne": ("daniel",), "ebban": ("ebba",), "edde": ("edvin", "edvard"), "ella": ("ellen", "elin"), "emmi": ("emilia", "emma"), "eva": ("evalena",), "felle": ("felicia",), "fia": ("sofia",), "fille": ("filip",), "fippe": ("filip",), "fredde": ("fredrik",), "frippe": ("fredrik",), "gittan": ("birgitta",), "gurra": ("gustav", "gunnar", "goran"),
-    "hampe": ("hampus",), "hanna": ("johanna",), "hasse": ("hans", "hannes"), "henke": ("henrik",), "jacke": ("jakob",), "janne": ("jan", "janerik"), "jocke": ("joakim", "jakob"), "johnny": ("john",), "jonte": ("jonas", "jonatan", "johan"), "kalle": ("karl", "karljohan", "carl"), "kattis": ("katarina",), "kenta": ("kenneth", "kent"), "kia": ("kristina",), "kicki": ("kristina", "kerstin"), "kim": ("joakim",), "klabbe": ("klas",), "kribbe": ("kristoffer", "krister"), "krille": ("kristoffer", "kristian"), "lasse": ("lars",), "leffe": ("leif",), "lelle": ("lennart",), "lena": ("evalena",), "lillan": ("elisabet",), "linda": ("linnea",), "lisa": ("elisabet",), "lotta": ("charlotta",), "ludde": ("ludvig",),
+    "cale": ("carl",), "calle": ("carl", "karljohan", "karl"), "charlie": ("charlotta",), "chrille": ("christer", "christian"), "cissi": ("cecilia",), "crille": ("christer", "christian"), "danne": ("daniel",), "ebban": ("ebba",), "edde": ("edvin", "edvard"), "ella": ("ellen", "elin"), "emmi": ("emilia", "emma"), "felle": ("felicia",), "fia": ("sofia",), "fille": ("filip",), "fippe": ("filip",), "fredde": ("fredrik",), "frippe": ("fredrik",), "gittan": ("birgitta",), "gurra": ("gustav", "gunnar", "goran"),
+    "hampe": ("hampus",), "hanna": ("johanna",), "hasse": ("hans", "hannes"), "henke": ("henrik",), "jacke": ("jakob",), "janne": ("jan", "janerik"), "jocke": ("joakim", "jakob"), "johnny": ("john",), "jonte": ("jonas", "jonatan", "johan"), "kalle": ("karl", "karljohan", "carl"), "kattis": ("katarina",), "kenta": ("kenneth", "kent"), "kia": ("kristina",), "kicki": ("kristina", "kerstin"), "kim": ("joakim",), "klabbe": ("klas",), "kribbe": ("kristoffer", "krister"), "krille": ("kristoffer", "kristian"), "lasse": ("lars",), "leffe": ("leif",), "lelle": ("lennart",), "lillan": ("elisabet",), "linda": ("linnea",), "lisa": ("elisabet",), "lotta": ("charlotta",), "ludde": ("ludvig",),
     "maggan": ("margareta",), "greta": ("margareta",), "mange": ("magnus",), "mackan": ("marcus",), "maja": ("maria",), "mansan": ("mans",), "masse": ("mats", "martin"), "matte": ("mattias", "mats"), "mia": ("maria", "annamaria"), "micke": ("mikael",), "mimmi": ("maria",), "mackan ": ("markus",), "nalle": ("bjorn",), "nettan": ("anette", "jeanette"), "nicke": ("niklas",), "nille": ("pernilla",), "ninni": ("ingrid",), "nisse": ("nilsake", "nils"), "noppe": ("norbert",), "olle": ("olof", "oliver", "perolof"), "oskis": ("oskar",), "ove": ("ove",), "palle": ("paul", "patrik"), "pelle": ("per", "perolof"), "pernilla": ("nilla",), "nilla": ("pernilla",), "petra": ("petra",), "pia": ("maria",), "putte": ("patrik", "per"),
-    "rasse": ("rasmus",), "rebban": ("rebecka",), "becka": ("rebecka",), "robban": ("robert",), "roffe": ("rolf",), "rolle": ("roland", "rolf"), "sandra": ("alexandra",), "samme": ("samuel",), "sam": ("samuel",), "sanna": ("susanne",), "sigge": ("signe", "sigvard"), "steffe": ("stefan",), "stoffe": ("kristoffer",), "sussi": ("susanne",), "svenne": ("sven",), "sonny": ("soren",), "tage": ("tage",), "tinna": ("kristina",), "tobbe": ("tobias",), "tompa": ("tomas",), "tony": ("anton", "antonia"), "totte": ("torsten", "anton"), "tilda": ("matilda",), "uffe": ("ulf",), "ulla": ("ulrika",), "ullis": ("ulrika",), "valle": ("valter",), "vicke": ("viktor",), "vickan": ("viktoria",), "ville": ("vilhelm", "wilhelm", "viktor", "vincent"), "wille": ("wilhelm",), "wilma": ("vilhelmina",), "ragge": ("ragnar",), "hugge": ("hugo",), "malle": ("malte",), "melle": ("melker",), "adde": ("adam", "andreas"), "andy": ("anders",), "acke": ("axel",), "augge": ("august",), "jompa": ("johan",), "johan": ("karljohan",), "karin": ("annakarin",), "erik": ("janerik",), "marie": ("asemarie", "brittmarie"), "ake": ("nilsake",), "olof": ("perolof",), "nils": ("nilsake",), "per": ("perolof",), "jan": ("janerik",), "karl": ("karljohan",),
+    "rasse": ("rasmus",), "rebban": ("rebecka",), "becka": ("rebecka",), "robban": ("robert",), "roffe": ("rolf",), "rolle": ("roland", "rolf"), "sandra": ("alexandra",), "samme": ("samuel",), "sam": ("samuel",), "sanna": ("susanne",), "sigge": ("signe", "sigvard"), "steffe": ("stefan",), "stoffe": ("kristoffer",), "sussi": ("susanne",), "svenne": ("sven",), "sonny": ("soren",), "tage": ("tage",), "tinna": ("kristina",), "tobbe": ("tobias",), "tompa": ("tomas",), "tony": ("anton", "antonia"), "totte": ("torsten", "anton"), "tilda": ("matilda",), "uffe": ("ulf",), "ulla": ("ulrika",), "ullis": ("ulrika",), "valle": ("valter",), "vicke": ("viktor",), "vickan": ("viktoria",), "ville": ("vilhelm", "wilhelm", "viktor", "vincent"), "wille": ("wilhelm",), "wilma": ("vilhelmina",), "ragge": ("ragnar",), "hugge": ("hugo",), "malle": ("malte",), "melle": ("melker",), "adde": ("adam", "andreas"), "andy": ("anders",), "acke": ("axel",), "augge": ("august",), "jompa": ("johan",), 
     "ale": ("alexander", "alexandra"), "ante": ("anders", "anton"), "ben": ("benjamin",), "bengan": ("bengt",), "josan": ("josefin",), "kj": ("karljohan",), "kricke": ("kristoffer",), "natis": ("nathalie",), "nina": ("katarina",), "oge": ("oskar",), "oli": ("oliver",), "pate": ("patrik",), "pippi": ("filippa",), "po": ("perolof",), "sebe": ("sebastian",), "stina": ("kristina",), "ube": ("urban",),
 }
 _FULL: dict[str, set[str]] = {}
