@@ -24,7 +24,7 @@ def merkle_nodes(snapshots: DataFrame, key: str = "key", state: str = "state", f
     rows a level, whatever the number of keys."""
     leaf = F.pmod(F.xxhash64(key), F.lit(fanout**depth)).cast("int")
     level = snapshots.groupBy("snap", leaf.alias("node")).agg(F.expr(f"bit_xor(xxhash64({key}, {state}))").alias("digest"), F.count(F.lit(1)).alias("n"))
-    level = level.select("snap", "node", F.xxhash64("digest", "n").alias("digest"))
+    level = stash(level.select("snap", "node", F.xxhash64("digest", "n").alias("digest")), "leaves")  # rows are hashed once
     out = [level]
     for _ in range(depth):
         level = level.groupBy("snap", F.floor(F.col("node") / fanout).cast("int").alias("node")).agg(F.expr("bit_xor(xxhash64(node, digest))").alias("digest"))
