@@ -57,7 +57,6 @@ def compare_down(nodes: list[DataFrame], fanout: int) -> DataFrame:
         if suspects is not None:
             up = F.floor(F.col("node") / fanout).cast("int")
             now = now.withColumn("_up", up).join(suspects, ["snap", "_up"], "left_semi").drop("_up")
-            before = before.withColumn("_up", up).join(suspects, ["snap", "_up"], "left_semi").drop("_up")
         differing = now.join(before, ["snap", "node"], "left").filter(~F.col("digest").eqNullSafe(F.col("_before"))).select("snap", "node")
         suspects = differing.withColumnRenamed("node", "_up")
     return differing
