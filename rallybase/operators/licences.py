@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import stash
 
 
 def _majority(df: DataFrame, keys: list[str], value: str, out: str, unique: bool = False) -> DataFrame:
@@ -28,10 +29,12 @@ def read_licences(raw: DataFrame) -> DataFrame:
         X.year_of(F.col("year_born")).alias("year"), "firstname", "lastname", "club_name", "license_info_raw", "content_hash", "last_seen_at",
         F.to_date("last_seen_at").alias("seen"), X.token_key(F.concat_ws(" ", "firstname", "lastname")).alias("name_key"), X.skeleton(F.col("club_name")).alias("club_key"),
     )
+    base = stash(base, "parsed")
     seasons = _majority(base.filter(F.col("season_id_ext").isNotNull()), ["season_id_ext"], "_season", "_season2")
     clubs = _majority(base.filter(F.col("club_key").isNotNull() & (F.col("club_key") != "")), ["club_key"], "_club", "_club2")
     out = base.join(seasons, "season_id_ext", "left").join(clubs, "club_key", "left")
     out = out.withColumn("season", F.coalesce("_season", "_season2")).withColumn("club", F.coalesce("_club", "_club2")).drop("_season", "_season2", "_club", "_club2", "season_id_ext")
+    out = stash(out, "coded")
     named = out.filter(F.col("_person").isNotNull())
     by_year = _majority(named, ["name_key", "year"], "_person", "_p1", unique=True).filter(F.col("year").isNotNull())
     by_club = _majority(named, ["name_key", "club"], "_person", "_p2", unique=True).filter(F.col("club").isNotNull())
