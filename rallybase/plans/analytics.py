@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import relational as R
-from ..session import table
+from ..session import stash, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -435,7 +435,7 @@ def q_negative_ids(s: SparkSession, d: str) -> DataFrame:
     low = min(e.agg(F.min("missing_entry")).first()[0] or 0, 0)
     m = table(s, d, "match_side_new").select(F.col("represented_entry_id").alias("missing_entry")).filter("missing_entry is not null").distinct().join(e, "missing_entry", "left_anti")
     parts = parallelism(s)
-    ranged = m.repartitionByRange(parts, "missing_entry").withColumn("_part", F.spark_partition_id())
+    ranged = stash(m.repartitionByRange(parts, "missing_entry").withColumn("_part", F.spark_partition_id()), "ranged")  # ranges are drawn once
     sizes = {r["_part"]: r["count"] for r in ranged.groupBy("_part").count().collect()}  # one row per partition
     offset, offsets = 0, []
     for k in sorted(sizes):
