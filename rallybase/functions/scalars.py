@@ -186,3 +186,37 @@ def sequence_ratio(a: Column, b: Column) -> Column:
         return pd.Series([None if p is None or q is None else difflib.SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y, strict=True)], dtype="float64")
 
     return ratio(a, b)
+
+
+def name_aliases(name: Column) -> Column:
+    """Shorter forms under which a player may stand in a drawing: the whole name, first and last part, initial and last part,
+    the last part alone, and the same with only the first half of parts joined by a hyphen."""
+    clean = F.lower(F.trim(F.regexp_replace(name, r"\s+", " ")))
+
+    def forms(c: Column) -> Column:
+        parts = F.split(c, " ")
+        first, last = F.element_at(parts, 1), F.element_at(parts, -1)
+        many = F.size(parts) > 1
+        return F.array(c, F.when(many, F.concat_ws(" ", first, last)), F.when(many, F.concat(F.substring(first, 1, 1), F.lit(" "), last)), F.when(many, F.concat(F.substring(first, 1, 1), F.lit(". "), last)), F.when(many, last))
+
+    halved = F.regexp_replace(clean, r"-\S+", "")
+    return F.when(clean != "", F.array_distinct(F.array_compact(F.concat(forms(clean), forms(halved))))).otherwise(F.array().cast("array<string>"))
+
+
+def round_name(matches: Column) -> Column:
+    """Name of a knockout round by its number of matches."""
+    return F.when(matches == 1, "Final").when(matches == 2, "Semifinal").when(matches == 4, "Quarterfinal").otherwise(F.concat(F.lit("Round of "), (matches * 2).cast("string")))
+
+
+def league_level(section: Column) -> Column:
+    """National, regional, district or other, from the heading of a section."""
+    s = F.lower(section)
+    return F.when(s.isNull(), None).when(s.rlike("nationell|national|elit|superliga"), "National").when(s.rlike("region|zon"), "Regional").when(s.rlike("distrikt|district"), "District").otherwise("Other")
+
+
+def structure_from_text(inferred: Column, text: Column) -> Column:
+    """A structure corrected by its document: two group stages named make it 4, a knockout named in one of groups only makes it 1."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    pools = F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(r"(?:gruppspel|pooler|group stage)\s*(\d)"), F.lit(1))))
+    knockout = t.rlike("slutspel|utslagning|knockout|schema-")
+    return F.when(pools >= 2, F.when(knockout, 1).otherwise(4)).when((inferred == 2) & knockout, 1).otherwise(inferred)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values, which results refer to by number.
-DATA_SOURCES = [(1, "ondata"), (2, "PingisArenan"), (3, "Profixio")]
 STATUSES = [(1, "Upcoming"), (2, "Ongoing"), (3, "Ended"), (4, "Cancelled"), (5, "Postponed"), (6, "Unknown")]
 LEVELS = [(1, "National"), (2, "International")]
 STAGES = [

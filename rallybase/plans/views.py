@@ -276,3 +276,13 @@ def register(tables: Tables) -> None:
             view(tables).createOrReplaceTempView(f"v_{name}")
         except KeyError:
             continue
+
+
+def search_players(t: Tables, name: str, year: int | None = None) -> DataFrame:
+    """Players by name and year: exactly, else by a part of any of their names; an unknown year fits every year."""
+    want = name.strip().lower()
+    p = _players(t, verified_flips=False).withColumn("_n", F.lower("player_name"))
+    exact, part = F.coalesce(F.col("_n") == want, F.lit(False)), F.coalesce(F.contains("_n", F.lit(want)) | F.contains(F.lower("fullname_raw"), F.lit(want)), F.lit(False))
+    fits = F.lit(True) if year is None else F.col("year_born").isNull() | (F.col("year_born") == year)
+    found = p.filter((exact | part) & fits).withColumn("match", F.when(exact, "exact").otherwise("part"))
+    return found.select("player_id", "player_name", "year_born", "is_verified", "match").orderBy("match", "player_id")

@@ -88,3 +88,10 @@ def test_likeness(spark):
     assert spark.range(1).select(S.jaccard(F.lit("a b c"), F.lit("b c d"))).first()[0] == 0.5
     assert each(spark, S.human_size, [10, 2048, 3 * 1024**2], "long") == ["10 B", "2.0 KB", "3.0 MB"]
     assert each(spark, S.first_int, ["pool 12 of 3", "x", None]) == [12, None, None]
+
+
+def test_drawing_words(spark):
+    assert each(spark, S.name_aliases, ["Anna-Karin  Berg Ek", "Ek", " ", None]) == [["anna-karin berg ek", "anna-karin ek", "a ek", "a. ek", "ek", "anna berg ek", "anna ek"], ["ek"], [], []]
+    assert each(spark, S.round_name, [1, 2, 4, 8], "int") == ["Final", "Semifinal", "Quarterfinal", "Round of 16"]
+    assert each(spark, S.league_level, ["Nationella serier", "Region Norr", "Distrikt 3", "Övrigt", None]) == ["National", "Regional", "District", "Other", None]
+    assert each(spark, lambda c: S.structure_from_text(F.lit(2), c), ["Gruppspel 1 ... Gruppspel 2", "Pool, slutspel", "x", None]) == [4, 1, 2, 2]

@@ -94,3 +94,9 @@ def test_quality(t):
 def test_register(spark, t):
     V.register(t)
     assert spark.sql("select count(*) from v_player_profile").first()[0] == 3
+
+
+def test_search(t):
+    assert rows(V.search_players(t, " ann EK ", 1990), "player_id", "match") == [(1, "exact")]
+    assert rows(V.search_players(t, "bo"), "player_id", "match") == [(2, "part")]
+    assert rows(V.search_players(t, "ann ek", 1950), "player_id") == []
