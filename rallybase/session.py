@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _STASHED: list[str] = []
+_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +32,24 @@ def stash(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that they need no path to it."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        here = os.path.dirname(os.path.abspath(__file__))
+        made = os.path.join(tempfile.mkdtemp(prefix="rallybase-ship-"), "rallybase.zip")
+        with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, files in os.walk(here):
+                for f in files:
+                    if f.endswith(".py"):
+                        whole = os.path.join(folder, f)
+                        z.write(whole, os.path.join("rallybase", os.path.relpath(whole, here)))
+        sc.addPyFile(made)
+        _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
