@@ -47,6 +47,7 @@ class Vocabulary:
     def __init__(self, vocab: list[str], fuzzy_from: int = 5):
         self.ids = {w: i for i, w in enumerate(vocab)}
         self.fuzzy_from, self.near, self.cache = fuzzy_from, {}, {}
+        self.longest = 1 + max(map(len, vocab), default=0)  # a longer word is no item word with one error
         for w, i in self.ids.items():
             if len(w) >= fuzzy_from and not w.isdigit():
                 for s in {w, *_shorter(w)}:
@@ -54,7 +55,7 @@ class Vocabulary:
 
     def find(self, w: str) -> int:
         i = self.ids.get(w, -1)
-        if i >= 0 or len(w) < self.fuzzy_from or w.isdigit():
+        if i >= 0 or not self.fuzzy_from <= len(w) <= self.longest or w.isdigit():
             return i
         if (i := self.cache.get(w, -2)) == -2:
             hits = set(self.near.get(w, ()))

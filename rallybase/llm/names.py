@@ -51,8 +51,13 @@ def tokens(text: str | None) -> list[str]:
     return [_TWICE.sub(r"\1", w) for w in _WORDS.findall(t)]
 
 
+LONGEST = 64  # no name is longer; what is isn't searched for errors, only as it stands
+
+
 def shorter(w: str) -> set[str]:
     """The word and the word without each of its letters."""
+    if len(w) > LONGEST:
+        return {w}
     return {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}
 
 
@@ -65,7 +70,7 @@ def registered_forms(first: str | None, last: str | None) -> set[str]:
     if not f or not l:
         return {f"x|{f}|{l}"} if f or l else set()
     out = {f"x|{f}|{l}", f"i|{f[0]}|{l}", f"h|{f[:2]}|{l}"}
-    out |= {f"p|{f}|{l[:k]}" for k in range(4, len(l))} | {f"e|{f}|{d}" for d in shorter(l)} | {f"g|{d}|{l}" for d in shorter(f)}
+    out |= {f"p|{f}|{l[:k]}" for k in range(4, min(len(l), LONGEST))} | {f"e|{f}|{d}" for d in shorter(l)} | {f"g|{d}|{l}" for d in shorter(f)}
     return out
 
 
@@ -186,7 +191,7 @@ def club_registered_forms(text: str | None) -> set[str]:
         return set()
     s = place + short
     out = {f"x|{s}", f"o|{place}", *(f"e|{d}" for d in shorter(s)), *(f"d|{d2}" for d in shorter(s) for d2 in shorter(d))}
-    out |= {f"p|{place[:k]}|{short}" for k in range(3, len(place))}
+    out |= {f"p|{place[:k]}|{short}" for k in range(3, min(len(place), LONGEST))}
     return out
 
 

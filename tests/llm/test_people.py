@@ -122,3 +122,14 @@ def test_batches(spark):
     for steps in (1, 2, 6):  # the same however the history is cut into batches
         assert found(incremental.replay(spark, spark.createDataFrame(rows, LIC), steps)) == want
     assert incremental.replay(spark, spark.createDataFrame([], LIC)).mapping is None
+
+
+def test_very_long_texts():
+    long = "x" * 200_000
+    assert len(N.typed_forms(f"Ann {long}")) < 500
+    assert len(N.registered_forms("Ann", long)) < 500
+    assert N.club_typed_forms(long) and N.club_registered_forms("ab " * 100_000)
+    assert N.typed_forms("a " * 100_000) == {}
+    from rallybase.llm.leakage import Vocabulary
+
+    assert Vocabulary(["handduken"]).find("h" * 300_000) == -1
