@@ -74,17 +74,8 @@ def registered_forms(first: str | None, last: str | None) -> set[str]:
     return out
 
 
-def exact_forms(text: str | None) -> dict[str, float]:
-    """Only the forms that rewrite a name whole: order of parts, nicknames, left-out parts."""
-    return {k: w for k, w in _versions(text, False).items() if k[0] == "x"}
-
-
 def typed_forms(text: str | None) -> dict[str, float]:
     """All forms of a name as typed, with the weight of the rewriting: any order of the parts, any one part left out."""
-    return _versions(text, True)
-
-
-def _versions(text: str | None, errors: bool) -> dict[str, float]:
     ts = tokens(text)
     out: dict[str, float] = {}
     if not 2 <= len(ts) <= 6:
@@ -100,14 +91,14 @@ def _versions(text: str | None, errors: bool) -> dict[str, float]:
             else:
                 for full in _NICK.get(f, ()):
                     new[f"x|{full}|{l}"] = WEIGHTS["n"]
-                    for d in shorter(l) if errors and w == 1.0 else ():
+                    for d in shorter(l) if w == 1.0 else ():
                         new.setdefault(f"e|{full}|{d}", WEIGHTS["n"] * WEIGHTS["e"])
                 new[f"h|{f[:2]}|{l}"] = WEIGHTS["h"]
                 if len(l) >= 4:
                     new[f"p|{f}|{l}"] = WEIGHTS["p"]
-                for d in shorter(l) if errors else ():
+                for d in shorter(l):
                     new[f"e|{f}|{d}"] = WEIGHTS["e"]
-                for d in shorter(f) if errors else ():
+                for d in shorter(f):
                     new[f"g|{d}|{l}"] = WEIGHTS["e"]
             for k, x in new.items():
                 out[k] = max(out.get(k, 0.0), x * w)

@@ -56,25 +56,19 @@ def candidates(typed: DataFrame, index: DataFrame, person_clubs: DataFrame, spel
 
     A rewriting that turns a part which is a name of its own into another one counts a tenth.
 
-    typed: name_id, name and club_id (null if unknown), distinct. Names that can be rewritten whole into registered ones have
-    these as candidates; only the others are searched with all their forms. A form that more than MAX_SHARED persons have is
+    typed: name_id, name and club_id (null if unknown), distinct. Every name is searched with all its forms, also one that is
+    a holder's own: it may be a misspelling of another's. A form that more than MAX_SHARED persons have is
     joined together with a club of the person, so that no form joins an unbounded group; without a club it tells nobody apart."""
     heavy = stash(index.groupBy("form").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > N.MAX_SHARED).select("form"), "heavy")
     rare = index.join(heavy, "form", "left_anti")
     crowd = index.join(heavy, "form", "left_semi").join(person_clubs, "person")
     names = typed.select("name_id", "name").distinct()
-
-    def match(names: DataFrame, forms) -> DataFrame:  # noqa: ANN001
-        made = N.explode_forms(names, ["name_id"], ["name"], forms, True)
-        sole = made.join(rare, "form").select("name_id", "person", "weight")
-        if heavy.isEmpty():
-            return sole
+    made = N.explode_forms(names, ["name_id"], ["name"], N.typed_forms, True)
+    met = made.join(rare, "form").select("name_id", "person", "weight")
+    if not heavy.isEmpty():
         shared = made.join(heavy, "form", "left_semi").join(typed.filter("club_id is not null").select("name_id", "club_id"), "name_id")
-        return sole.unionByName(shared.join(crowd, ["form", "club_id"]).select("name_id", "person", "weight"))
-
-    whole = stash(match(names, N.exact_forms).groupBy("name_id", "person").agg(F.max("weight").alias("weight")), "whole")
-    rest = names.join(whole.select("name_id").distinct(), "name_id", "left_anti")
-    found = whole.unionByName(match(rest, N.typed_forms).groupBy("name_id", "person").agg(F.max("weight").alias("weight")))
+        met = met.unionByName(shared.join(crowd, ["form", "club_id"]).select("name_id", "person", "weight"))
+    found = met.groupBy("name_id", "person").agg(F.max("weight").alias("weight"))
     known = known_parts(spellings)
     typed_parts = names.select("name_id", F.explode(_parts(F.col("name"))).alias("part")).join(known, "part").groupBy("name_id").agg(F.collect_set("part").alias("_known"))  # at most six parts
     person_parts = spellings.groupBy("person").agg(F.array_distinct(F.flatten(F.collect_list(_parts(F.concat_ws(" ", "firstname", "lastname"))))).alias("_own"))  # two spellings

@@ -50,6 +50,18 @@ def test_links_names(spark):
     assert people.link_names(df.limit(0), persons, spellings, pc).count() == 0
 
 
+def test_another_holders_name_can_be_an_error(spark):
+    """A misspelling, or a name with a part more, that is another holder's own name still has its true holder as candidate."""
+    raw = spark.createDataFrame([lic(1, "100", "Ann", "Ektyvlund"), lic(2, "101", "Ann", "Ektyvlud", club="Fjärdalen GIF", cid="3008"), lic(3, "102", "Bo", "Mekubsten"), lic(4, "103", "Bo Ola", "Mekubstn", club="Fjärdalen GIF", cid="3008")], LIC)
+    licences, persons, spellings, _ = people.registry(raw, clubs(spark))
+    pc = licences.select("person", "club_id").distinct()
+    typed = spark.createDataFrame([(1, "Ann Ektyvlud", 1), (2, "Bo Ola Mekubstn", 1)], "name_id long, name string, club_id long")
+    got = {(r["name_id"], r["person"]) for r in people.candidates(typed, people.registered_index(spellings), pc, spellings).collect()}
+    assert {(1, "100"), (1, "101"), (2, "102"), (2, "103")} <= got
+    rows = spark.createDataFrame([(1, "Ann Ektyvlud", 1, None), (2, "Ann Ektyvlud", 2, None)], "row_id long, name string, club_id long, grp long")
+    assert {(r["row_id"], r["person"]) for r in people.link_names(rows, persons, spellings, pc).collect()} == {(1, "100"), (2, "101")}
+
+
 def test_links_transitions(spark):
     raw, tra = [], []
     for i in range(40):
