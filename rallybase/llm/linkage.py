@@ -36,9 +36,8 @@ def link_transitions(transitions: DataFrame, licences: DataFrame, clubs: DataFra
     held = lic.filter("person is not null and club_id is not null and season is not null").select("person", "season", "club_id").distinct()
     held = stash(held, "held")
     person_clubs = held.select("person", "club_id").distinct()
-    typed = t.select("name_id", "name", F.col("from_id").alias("club_id")).unionByName(t.select("name_id", "name", F.col("to_id").alias("club_id"))).distinct()
     index = people.registered_index(spellings)
-    by_name = stash(people.candidates(typed, index, person_clubs, spellings), "byname")
+    by_name = stash(people.candidates(t, index, spellings), "byname")
     years = t.select("row_id", F.explode(F.array_compact(F.array_distinct(F.array("y1", "y2")))).alias("year"), F.col("from_id").alias("club_id")).filter("club_id is not null")
     by_club = years.join(persons.select("person", "year").join(person_clubs, "person"), ["year", "club_id"]).select("row_id", "person")
     pairs = t.join(by_name, "name_id").select("row_id", "person", "told", "weight").unionByName(by_club.withColumn("told", F.lit(None).cast("double")).withColumn("weight", F.lit(None).cast("double")))

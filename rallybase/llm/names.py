@@ -26,7 +26,6 @@ _TWICE = re.compile(r"(.)\1+")
 #: How much a shared form tells, by kind: exact, nickname, typing error, cut end, initial, same beginning of the first name.
 WEIGHTS = {"x": 1.0, "n": 0.9, "e": 0.8, "p": 0.75, "i": 0.6, "h": 0.5}
 DROPPED = 0.92
-MAX_SHARED = 40  # a form that more persons share tells nobody apart without a club; with one, form and club are the key
 #: Swedish nicknames and the names they stand for.
 NICKNAMES: dict[str, tuple[str, ...]] = {
     "abbe": ("albert", "albin"), "affe": ("alfred",), "alex": ("alexander", "alexandra"), "anki": ("annkristin", "annika", "annakarin", "ann"), "anna": ("annakarin",), "babben": ("barbro",), "basse": ("sebastian",), "bea": ("beatrice",), "benja": ("benjamin",), "benke": ("bengt",), "berra": ("bertil",), "bettan": ("elisabet",), "bibbi": ("birgitta",), "bobo": ("bo",), "bosse": ("bo",), "brittan": ("birgitta", "brittmarie"), "britta": ("birgitta", "brittmarie"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators.licences import _majority, read_licences
+from ..operators.skew import add_salt, hot_keys, replicate
 from ..session import stash
 from . import names as N
 
@@ -15,6 +16,7 @@ PLACEHOLDERS = r"(?i)^\W*(vakant|vacant|wo|w\.?o\.?|reserv\w*|bye|tba|tbd|okänd
 
 KNOWN = 3  # so many persons make a part of a name a name of its own
 OTHER_NAME = 0.1  # what is left of the weight where a name of its own would have to be an error
+HOT = 0.0005  # forms with more than this share of the index are spread over slices
 WHOLE = 0.81  # rewritings above this change no letter: order, nicknames, left-out parts
 
 
@@ -51,23 +53,19 @@ def _parts(c: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(X.fold(c), r"(.)\1+", "$1"), " "), lambda t: F.length(t) > 1)
 
 
-def candidates(typed: DataFrame, index: DataFrame, person_clubs: DataFrame, spellings: DataFrame) -> DataFrame:
+def candidates(typed: DataFrame, index: DataFrame, spellings: DataFrame) -> DataFrame:
     """name_id, person, told (weight of the best shared form, by its rarity), weight.
 
     A rewriting that turns a part which is a name of its own into another one counts a tenth.
 
-    typed: name_id, name and club_id (null if unknown), distinct. Every name is searched with all its forms, also one that is
-    a holder's own: it may be a misspelling of another's. A form that more than MAX_SHARED persons have is
-    joined together with a club of the person, so that no form joins an unbounded group; without a club it tells nobody apart."""
-    heavy = stash(index.groupBy("form").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > N.MAX_SHARED).select("form"), "heavy")
-    rare = index.join(heavy, "form", "left_anti")
-    crowd = index.join(heavy, "form", "left_semi").join(person_clubs, "person")
+    typed: name_id and name, distinct. Every name is searched with all its forms, also one that is a holder's own: it may be a
+    misspelling of another's. Every person that shares a form is a candidate, however common the form; the persons of hot forms
+    are spread over slices, and the typed names are repeated in each."""
     names = typed.select("name_id", "name").distinct()
     made = N.explode_forms(names, ["name_id"], ["name"], N.typed_forms, True)
-    met = made.join(rare, "form").select("name_id", "person", "weight")
-    if not heavy.isEmpty():
-        shared = made.join(heavy, "form", "left_semi").join(typed.filter("club_id is not null").select("name_id", "club_id"), "name_id")
-        met = met.unionByName(shared.join(crowd, ["form", "club_id"]).select("name_id", "person", "weight"))
+    hot = hot_keys(index, ["form"], HOT)
+    spread = add_salt(index, hot, ["form"], [F.col("person")])
+    met = replicate(made, hot, ["form"]).join(spread, ["form", "_salt"]).select("name_id", "person", "weight")
     found = met.groupBy("name_id", "person").agg(F.max("weight").alias("weight"))
     known = known_parts(spellings)
     typed_parts = names.select("name_id", F.explode(_parts(F.col("name"))).alias("part")).join(known, "part").groupBy("name_id").agg(F.collect_set("part").alias("_known"))  # at most six parts
@@ -90,7 +88,7 @@ def link_names(rows: DataFrame, persons: DataFrame, spellings: DataFrame, person
     rows = rows.filter(F.col("name").isNotNull() & ~F.col("name").rlike(PLACEHOLDERS) & (F.trim("name") != ""))
     rows = rows.withColumn("name_id", F.xxhash64("name")).withColumn("grp", F.coalesce("grp", F.xxhash64("name", F.coalesce("club_id", F.lit(-1)))))
     units = stash(rows.groupBy("name_id", "club_id", "grp").agg(F.any_value("name").alias("name")), "units")
-    pairs = candidates(units.select("name_id", "name", "club_id").distinct(), registered_index(spellings), person_clubs, spellings)
+    pairs = candidates(units.select("name_id", "name"), registered_index(spellings), spellings)
     pairs = stash(pairs, "pairs")
     at_club = person_clubs.withColumn("_at", F.lit(True))
     scored = units.select("name_id", "club_id", "grp").join(pairs, "name_id").join(at_club, ["person", "club_id"], "left")

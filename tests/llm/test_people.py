@@ -56,7 +56,7 @@ def test_another_holders_name_can_be_an_error(spark):
     licences, persons, spellings, _ = people.registry(raw, clubs(spark))
     pc = licences.select("person", "club_id").distinct()
     typed = spark.createDataFrame([(1, "Ann Ektyvlud", 1), (2, "Bo Ola Mekubstn", 1)], "name_id long, name string, club_id long")
-    got = {(r["name_id"], r["person"]) for r in people.candidates(typed, people.registered_index(spellings), pc, spellings).collect()}
+    got = {(r["name_id"], r["person"]) for r in people.candidates(typed, people.registered_index(spellings), spellings).collect()}
     assert {(1, "100"), (1, "101"), (2, "102"), (2, "103")} <= got
     rows = spark.createDataFrame([(1, "Ann Ektyvlud", 1, None), (2, "Ann Ektyvlud", 2, None)], "row_id long, name string, club_id long, grp long")
     assert {(r["row_id"], r["person"]) for r in people.link_names(rows, persons, spellings, pc).collect()} == {(1, "100"), (2, "101")}
@@ -77,6 +77,33 @@ def test_links_transitions(spark):
     assert all(c >= 0.5 for p, c in got.values() if p)
 
 
+def test_common_names(spark):
+    """A name that 45 persons have gives all of them as candidates without a club; the year or the class number tells who it is."""
+    raw = [lic(i, str(100 + i), "Ann", "Ektyvlund", str(1920 + 2 * i)) for i in range(45)] + [lic(50, "200", "Bo", "Mekubsten")]
+    raw += [lic(60, "110", "Ann", "Ektyvlund", "1940", "Fjärdalen GIF", "3008")]
+    df = spark.createDataFrame(raw, LIC)
+    licences, persons, spellings, _ = people.registry(df, clubs(spark))
+    typed = spark.createDataFrame([(1, "Ann Ektyvlund"), (2, "Bo Mekubsten")], "name_id long, name string")
+    got = people.candidates(typed, people.registered_index(spellings), spellings).groupBy("name_id").count().collect()
+    assert {r["name_id"]: r["count"] for r in got} == {1: 45, 2: 1}
+    pc = licences.select("person", "club_id").distinct()
+    rows = spark.createDataFrame([(1, "Ann Ektyvlund", None, 7), (2, "Ektyvlund Ann", 2, 7), (3, "Ann Ektyvlund", None, 8)], "row_id long, name string, club_id long, grp long")
+    assert {(r["row_id"], r["person"]) for r in people.link_names(rows, persons, spellings, pc).collect()} == {(1, "110"), (2, "110")}
+
+
+def test_common_names_move(spark):
+    """Of 45 namesakes the year tells who moved, without any club."""
+    raw, tra = [lic(1000 + i, str(500 + i), "Ann", "Gemensam", str(1920 + 2 * i)) for i in range(45)], []
+    for i in range(40):
+        first, last = ["Ann", "Bo", "Cia", "Dan"][i % 4], f"{'Mekub Tomam Bokif Ektyv Sanot'.split()[i % 5]}{'lund sten vik'.split()[i % 3]}{'aeiou'[i % 5] if i > 19 else ''}"
+        raw += [lic(2 * i, str(100 + i), first, last, str(1950 + i)), lic(2 * i + 1, str(100 + i), first, last, str(1950 + i), "Fjärdalen GIF", "3008", "2021-22", day=date(2021, 9, 1))]
+        tra.append((i, "2021-22", first, last, date(1950 + i, 1, 2), str(1950 + i), *([None, None] if i % 3 == 0 else ["Porsbenning BTF", "Fjärdalen GIF"]), date(2021, 8, 1)))
+    tra += [(900 + i, "2021-22", "Ann", "Gemensam", None, str(1920 + 2 * i), None, None, date(2021, 8, 1)) for i in (3, 20)]
+    t = spark.createDataFrame(tra, "row_id long, season_label string, firstname string, lastname string, date_born date, year_born string, club_from string, club_to string, transition_date date")
+    got = {r["row_id"]: r["person"] for r in linkage.link_transitions(t, spark.createDataFrame(raw, LIC), clubs(spark)).collect()}
+    assert (got[903], got[920]) == ("503", "520")
+
+
 PLAYER = "player_id long, firstname string, lastname string, year_born long, date_born string, fullname_raw string, is_verified boolean, row_created timestamp, row_updated timestamp"
 
 
