@@ -14,21 +14,33 @@ _SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's spark.checkpoint.dir; only where that is unset, a temporary one."""
+    """Folder for intermediate tables: the cluster's spark.checkpoint.dir. Only a local session without one gets a temporary
+    folder; on a cluster its absence is an error, as executors would write where nobody else can read."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="rallybase-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
 
 
+def _path(spark: SparkSession, path: str):  # noqa: ANN202
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(conf)
+
+
 def stash(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts lineage, and survives the loss of any executor."""
+    """Write df once to the shared folder and read it back: cuts lineage, and survives the loss of any executor. The table is
+    removed when the application ends, or before by drop_stashed."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _STASHED.append(path)
+    p, fs = _path(spark, path)
+    fs.deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -59,7 +71,6 @@ def parallelism(spark: SparkSession) -> int:
 
 def drop_stashed(spark: SparkSession) -> None:
     """Removes the intermediate tables of this application. DataFrames that still read them fail afterwards."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _STASHED:
-        path = jvm.org.apache.hadoop.fs.Path(_STASHED.pop())
-        path.getFileSystem(conf).delete(path, True)
+        p, fs = _path(spark, _STASHED.pop())
+        fs.delete(p, True)
