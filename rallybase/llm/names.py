@@ -13,10 +13,9 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from xxhash import xxh64_intdigest
 
 from ..session import stash
 
@@ -31,15 +30,15 @@ NICKNAMES: dict[str, tuple[str, ...]] = {
     "abbe": ("albert", "albin"), "affe": ("alfred",), "alex": ("alexander", "alexandra"), "anki": ("annkristin", "annika", "annakarin", "ann"), "anna": ("annakarin",), "babben": ("barbro",), "basse": ("sebastian",), "bea": ("beatrice",), "benja": ("benjamin",), "benke": ("bengt",), "berra": ("bertil",), "bettan": ("elisabet",), "bibbi": ("birgitta",), "bobo": ("bo",), "bosse": ("bo",), "brittan": ("birgitta", "brittmarie"), "britta": ("birgitta", "brittmarie"),
     "cale": ("carl",), "calle": ("carl", "karljohan", "karl"), "charlie": ("charlotta",), "chrille": ("christer", "christian"), "cissi": ("cecilia",), "crille": ("christer", "christian"), "danne": ("daniel",), "ebban": ("ebba",), "edde": ("edvin", "edvard"), "ella": ("ellen", "elin"), "emmi": ("emilia", "emma"), "felle": ("felicia",), "fia": ("sofia",), "fille": ("filip",), "fippe": ("filip",), "fredde": ("fredrik",), "frippe": ("fredrik",), "gittan": ("birgitta",), "gurra": ("gustav", "gunnar", "goran"),
     "hampe": ("hampus",), "hanna": ("johanna",), "hasse": ("hans", "hannes"), "henke": ("henrik",), "jacke": ("jakob",), "janne": ("jan", "janerik"), "jocke": ("joakim", "jakob"), "johnny": ("john",), "jonte": ("jonas", "jonatan", "johan"), "kalle": ("karl", "karljohan", "carl"), "kattis": ("katarina",), "kenta": ("kenneth", "kent"), "kia": ("kristina",), "kicki": ("kristina", "kerstin"), "kim": ("joakim",), "klabbe": ("klas",), "kribbe": ("kristoffer", "krister"), "krille": ("kristoffer", "kristian"), "lasse": ("lars",), "leffe": ("leif",), "lelle": ("lennart",), "lillan": ("elisabet",), "linda": ("linnea",), "lisa": ("elisabet",), "lotta": ("charlotta",), "ludde": ("ludvig",),
-    "maggan": ("margareta",), "greta": ("margareta",), "mange": ("magnus",), "mackan": ("marcus",), "maja": ("maria",), "mansan": ("mans",), "masse": ("mats", "martin"), "matte": ("mattias", "mats"), "mia": ("maria", "annamaria"), "micke": ("mikael",), "mimmi": ("maria",), "mackan ": ("markus",), "nalle": ("bjorn",), "nettan": ("anette", "jeanette"), "nicke": ("niklas",), "nille": ("pernilla",), "ninni": ("ingrid",), "nisse": ("nilsake", "nils"), "noppe": ("norbert",), "olle": ("olof", "oliver", "perolof"), "oskis": ("oskar",), "ove": ("ove",), "palle": ("paul", "patrik"), "pelle": ("per", "perolof"), "pernilla": ("nilla",), "nilla": ("pernilla",), "petra": ("petra",), "pia": ("maria",), "putte": ("patrik", "per"),
-    "rasse": ("rasmus",), "rebban": ("rebecka",), "becka": ("rebecka",), "robban": ("robert",), "roffe": ("rolf",), "rolle": ("roland", "rolf"), "sandra": ("alexandra",), "samme": ("samuel",), "sam": ("samuel",), "sanna": ("susanne",), "sigge": ("signe", "sigvard"), "steffe": ("stefan",), "stoffe": ("kristoffer",), "sussi": ("susanne",), "svenne": ("sven",), "sonny": ("soren",), "tage": ("tage",), "tinna": ("kristina",), "tobbe": ("tobias",), "tompa": ("tomas",), "tony": ("anton", "antonia"), "totte": ("torsten", "anton"), "tilda": ("matilda",), "uffe": ("ulf",), "ulla": ("ulrika",), "ullis": ("ulrika",), "valle": ("valter",), "vicke": ("viktor",), "vickan": ("viktoria",), "ville": ("vilhelm", "wilhelm", "viktor", "vincent"), "wille": ("wilhelm",), "wilma": ("vilhelmina",), "ragge": ("ragnar",), "hugge": ("hugo",), "malle": ("malte",), "melle": ("melker",), "adde": ("adam", "andreas"), "andy": ("anders",), "acke": ("axel",), "augge": ("august",), "jompa": ("johan",), 
+    "maggan": ("margareta",), "greta": ("margareta",), "mange": ("magnus",), "mackan": ("marcus", "markus"), "maja": ("maria",), "mansan": ("mans",), "masse": ("mats", "martin"), "matte": ("mattias", "mats"), "mia": ("maria", "annamaria"), "micke": ("mikael",), "mimmi": ("maria",), "nalle": ("bjorn",), "nettan": ("anette", "jeanette"), "nicke": ("niklas",), "nille": ("pernilla",), "ninni": ("ingrid",), "nisse": ("nilsake", "nils"), "noppe": ("norbert",), "olle": ("olof", "oliver", "perolof"), "oskis": ("oskar",), "palle": ("paul", "patrik"), "pelle": ("per", "perolof"), "pernilla": ("nilla",), "nilla": ("pernilla",), "pia": ("maria",), "putte": ("patrik", "per"),
+    "rasse": ("rasmus",), "rebban": ("rebecka",), "becka": ("rebecka",), "robban": ("robert",), "roffe": ("rolf",), "rolle": ("roland", "rolf"), "sandra": ("alexandra",), "samme": ("samuel",), "sam": ("samuel",), "sanna": ("susanne",), "sigge": ("signe", "sigvard"), "steffe": ("stefan",), "stoffe": ("kristoffer",), "sussi": ("susanne",), "svenne": ("sven",), "sonny": ("soren",), "tinna": ("kristina",), "tobbe": ("tobias",), "tompa": ("tomas",), "tony": ("anton", "antonia"), "totte": ("torsten", "anton"), "tilda": ("matilda",), "uffe": ("ulf",), "ulla": ("ulrika",), "ullis": ("ulrika",), "valle": ("valter",), "vicke": ("viktor",), "vickan": ("viktoria",), "ville": ("vilhelm", "wilhelm", "viktor", "vincent"), "wille": ("wilhelm",), "wilma": ("vilhelmina",), "ragge": ("ragnar",), "hugge": ("hugo",), "malle": ("malte",), "melle": ("melker",), "adde": ("adam", "andreas"), "andy": ("anders",), "acke": ("axel",), "augge": ("august",), "jompa": ("johan",), 
     "ale": ("alexander", "alexandra"), "ante": ("anders", "anton"), "ben": ("benjamin",), "bengan": ("bengt",), "josan": ("josefin",), "kj": ("karljohan",), "kricke": ("kristoffer",), "natis": ("nathalie",), "nina": ("katarina",), "oge": ("oskar",), "oli": ("oliver",), "pate": ("patrik",), "pippi": ("filippa",), "po": ("perolof",), "sebe": ("sebastian",), "stina": ("kristina",), "ube": ("urban",),
 }
 _FULL: dict[str, set[str]] = {}
 for _nick, _names in NICKNAMES.items():
     for _name in _names:
-        _FULL.setdefault(_nick.strip(), set()).add(_name)
-        _FULL.setdefault(_name, set()).add(_nick.strip())
+        _FULL.setdefault(_nick, set()).add(_name)
+        _FULL.setdefault(_name, set()).add(_nick)
 
 
 def tokens(text: str | None) -> list[str]:
@@ -50,60 +49,138 @@ def tokens(text: str | None) -> list[str]:
     return [_TWICE.sub(r"\1", w) for w in _WORDS.findall(t)]
 
 
-LONGEST = 64  # no name is longer; what is isn't searched for errors, only as it stands
+_PRIME, _BASE = (1 << 61) - 1, 1_000_003_579
+_POWERS = [1]
 
 
-def shorter(w: str) -> set[str]:
-    """The word and the word without each of its letters."""
-    if len(w) > LONGEST:
-        return {w}
-    return {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}
+class Rolled:
+    """Polynomial hashes of a word, of its beginnings and of the word without a piece: each in constant time once the word is
+    read, so that a text of any length gives forms in proportion to its length."""
+
+    def __init__(self, word: str):
+        while len(_POWERS) <= len(word):
+            _POWERS.append(_POWERS[-1] * _BASE % _PRIME)
+        pre, h = [0], 0
+        for c in word:
+            h = (h * _BASE + ord(c)) % _PRIME
+            pre.append(h)
+        self.word, self.pre, self.whole = word, pre, h
+
+    def head(self, k: int) -> int:
+        return self.pre[k]
+
+    def piece(self, a: int, b: int) -> int:
+        return (self.pre[b] - self.pre[a] * _POWERS[b - a]) % _PRIME
+
+    def without(self, a: int, b: int) -> int:
+        return (self.pre[a] * _POWERS[len(self.word) - b] + self.piece(b, len(self.word))) % _PRIME
+
+    def shorter(self) -> list[int]:
+        """The word, and the word without each of its letters."""
+        n, pre, h = len(self.word), self.pre, self.whole
+        return [h, *((h - pre[i + 1] * _POWERS[n - 1 - i] + pre[i] * _POWERS[n - 1 - i]) % _PRIME for i in range(n))]
+
+
+def _form(kind: str, first: int, last: int) -> int:
+    """A form as a number: its kind and the hashes of what stands for the first and the last name."""
+    return ((ord(kind) * 0x9E3779B97F4A7C1 + first) * 0x5851F42D4C957F2 + last * 0x27D4EB2F165667C5) % _PRIME
+
+
+@lru_cache(20_000)
+def _hash(word: str) -> int:
+    return Rolled(word).whole
 
 
 _NICK = {"".join(tokens(k)): {"".join(tokens(v)) for v in vs} for k, vs in _FULL.items()}
+MANY = 6  # in names of more parts than this, a left-out part isn't combined with another rewriting than order and nickname
 
 
-def registered_forms(first: str | None, last: str | None) -> set[str]:
-    """Canonical forms of a registered name, kind first."""
+def registered_forms(first: str | None, last: str | None) -> set[int]:
+    """Canonical forms of a registered name."""
     f, l = "".join(tokens(first)), "".join(tokens(last))  # noqa: E741
     if not f or not l:
-        return {f"x|{f}|{l}"} if f or l else set()
-    out = {f"x|{f}|{l}", f"i|{f[0]}|{l}", f"h|{f[:2]}|{l}"}
-    out |= {f"p|{f}|{l[:k]}" for k in range(4, min(len(l), LONGEST))} | {f"e|{f}|{d}" for d in shorter(l)} | {f"g|{d}|{l}" for d in shorter(f)}
-    return out
+        return {_form("x", 0, _hash(f or l))} if f or l else set()
+    rf, rl = Rolled(f), Rolled(l)
+    out = {_form("x", rf.whole, rl.whole), _form("i", rf.head(1), rl.whole), _form("h", rf.head(min(2, len(f))), rl.whole)}
+    out |= {_form("p", rf.whole, rl.head(k)) for k in range(4, len(l))}
+    return out | {_form("e", rf.whole, d) for d in rl.shorter()} | {_form("g", d, rl.whole) for d in rf.shorter()}
+
 
+def typed_forms(text: str | None) -> dict[int, float]:
+    """All forms of a name as typed, with the weight of the rewriting: any order of the parts, any one part left out.
 
-def typed_forms(text: str | None) -> dict[str, float]:
-    """All forms of a name as typed, with the weight of the rewriting: any order of the parts, any one part left out."""
+    The number of forms grows with the letters of the text, and with its letters times its parts up to MANY parts."""
     ts = tokens(text)
-    out: dict[str, float] = {}
-    if not 2 <= len(ts) <= 6:
-        return out
+    out: dict[int, float] = {}
+    if len(ts) < 2:
+        return {_form("x", 0, _hash(ts[0])): WEIGHTS["x"]} if ts else out
+
+    def put(form: int, weight: float) -> None:
+        if weight > out.get(form, 0.0):
+            out[form] = weight
+
     versions = [(ts, 1.0)]
-    if len(ts) > 2:
+    if 2 < len(ts) <= MANY:
         versions += [(ts[:i] + ts[i + 1 :], DROPPED) for i in range(len(ts))]
     for v, w in versions:
         for f, l in {("".join(v[:-1]), v[-1]), ("".join(v[1:]), v[0])}:  # noqa: E741
-            new = {f"x|{f}|{l}": WEIGHTS["x"]}
+            rf, rl = Rolled(f), Rolled(l)
+            put(_form("x", rf.whole, rl.whole), WEIGHTS["x"] * w)
             if len(f) == 1:
-                new[f"i|{f}|{l}"] = WEIGHTS["i"]
-            else:
-                for full in _NICK.get(f, ()):
-                    new[f"x|{full}|{l}"] = WEIGHTS["n"]
-                    for d in shorter(l) if w == 1.0 else ():
-                        new.setdefault(f"e|{full}|{d}", WEIGHTS["n"] * WEIGHTS["e"])
-                new[f"h|{f[:2]}|{l}"] = WEIGHTS["h"]
-                if len(l) >= 4:
-                    new[f"p|{f}|{l}"] = WEIGHTS["p"]
-                for d in shorter(l):
-                    new[f"e|{f}|{d}"] = WEIGHTS["e"]
-                for d in shorter(f):
-                    new[f"g|{d}|{l}"] = WEIGHTS["e"]
-            for k, x in new.items():
-                out[k] = max(out.get(k, 0.0), x * w)
+                put(_form("i", rf.whole, rl.whole), WEIGHTS["i"] * w)
+                continue
+            errors = rl.shorter()
+            for full in _NICK.get(f, ()):
+                put(_form("x", _hash(full), rl.whole), WEIGHTS["n"] * w)
+                for d in errors if w == 1.0 else ():
+                    put(_form("e", _hash(full), d), WEIGHTS["n"] * WEIGHTS["e"])
+            put(_form("h", rf.head(2), rl.whole), WEIGHTS["h"] * w)
+            if len(l) >= 4:
+                put(_form("p", rf.whole, rl.whole), WEIGHTS["p"] * w)
+            for d in errors:
+                put(_form("e", rf.whole, d), WEIGHTS["e"] * w)
+            for d in rf.shorter():
+                put(_form("g", d, rl.whole), WEIGHTS["e"] * w)
+    if len(ts) > MANY:
+        for rest, last, more in ((ts[:-1], ts[-1], ts[-2]), (ts[1:], ts[0], ts[1])):
+            joined, at = Rolled("".join(rest)), 0
+            for t in rest:  # one part of the first name left out
+                put(_form("x", joined.without(at, at + len(t)), _hash(last)), DROPPED)
+                at += len(t)
+            cut = joined.without(0, len(more)) if more is ts[1] else joined.head(at - len(more))
+            put(_form("x", cut, _hash(more)), DROPPED)  # the last name left out
     return out
 
 
+def _fifths(n: int) -> list[tuple[int, int]]:
+    return [(i * n // 5, (i + 1) * n // 5) for i in range(5)]
+
+
+def whole_pieces(word: str) -> list[int]:
+    """The fifths of a registered word: two errors, also swaps over a border, leave one as it is, moved by two letters at most."""
+    r, n = Rolled(word), len(word)
+    return [_form("d", 4 * n + i, r.piece(a, b)) for i, (a, b) in enumerate(_fifths(n))] if n >= 7 else []
+
+
+def moved_pieces(word: str) -> list[int]:
+    """Where a fifth of a registered word that is two errors away can stand in the word as typed."""
+    r, m = Rolled(word), len(word)
+    return [_form("d", 4 * n + i, r.piece(a + shift, b + shift)) for n in range(max(7, m - 2), m + 3) if m >= 7 for i, (a, b) in enumerate(_fifths(n)) for shift in range(-2, 3) if 0 <= a + shift and b + shift <= m]
+
+
+def _both_orders(text: str | None) -> set[str]:
+    ts = tokens(text)
+    return {"".join(ts), "".join(ts[-1:] + ts[:-1]), "".join(ts[1:] + ts[:1])}
+
+
+def registered_pieces(text: str | None) -> set[int]:
+    return {h for w in _both_orders(text) for h in whole_pieces(w)}
+
+
+def typed_pieces(text: str | None) -> set[int]:
+    return {h for w in _both_orders(text) for h in moved_pieces(w)}
+
+
 #: Legal forms of clubs, in folded letters, with their short form.
 LEGAL = {"bordtenisklub": "btk", "bordtenisforening": "btf", "bordtenissalskap": "bts", "pingisklub": "pk", "idrotsforening": "if", "gymnastikochidrotsforening": "gif", "almanaidrotssalskap": "ais", "sportklub": "sk"}
 SHORT = tuple(LEGAL.values())
@@ -175,47 +252,57 @@ def club_name(text: str | None) -> tuple[str, str]:
     return p, short
 
 
-def club_registered_forms(text: str | None) -> set[str]:
-    place, short = club_name(text)
-    if not place:
-        return set()
-    s = place + short
-    out = {f"x|{s}", f"o|{place}", *(f"e|{d}" for d in shorter(s)), *(f"d|{d2}" for d in shorter(s) for d2 in shorter(d))}
-    out |= {f"p|{place[:k]}|{short}" for k in range(3, min(len(place), LONGEST))}
-    return out
-
-
 CLUB_WEIGHTS = {"x": 1.0, "e": 0.8, "o": 0.75, "p": 0.7, "d": 0.6}
+CLUB_RARITY = 0.05  # how much a form tells less for each e-fold of clubs that have it
 
 
-def club_typed_forms(text: str | None) -> dict[str, float]:
-    """Forms of a club as typed: with place and legal form, without, with a cut place, with one or two typing errors."""
-    place, short = club_name(text)
-    out: dict[str, float] = {}
-    readings = {(place, short)}
-    if short:
-        readings.add((place[:-1], short) if place.endswith("s") else (place, short))
-    for s in SHORT:  # written as one word
-        if not short and place.endswith(s) and len(place) > len(s) + 3:
-            readings.add((place[: -len(s)], s))
-    for p, s in readings:
-        if not p:
-            continue
-        out[f"x|{p + s}"] = 1.0
+def club_registered_forms(place: str | None, short: str | None) -> dict[int, float]:
+    """Forms of a registered club, read into place and legal form. The weights are there for the two-error forms only."""
+    if not place:
+        return {}
+    short = short or ""
+    p, whole = Rolled(place), Rolled(place + short)
+    out = dict.fromkeys([_form("x", 0, whole.whole), _form("o", 0, p.whole)], 1.0)
+    out |= dict.fromkeys((_form("e", 0, d) for d in whole.shorter()), 1.0)
+    return out | dict.fromkeys((_form("p", p.head(k), _hash(short)) for k in range(3, len(place))), 1.0)
+
+
+def _readings(place: str, short: str) -> set[tuple[str, str]]:
+    out = {(place, short)}
+    if short and place.endswith("s"):
+        out.add((place[:-1], short))
+    if not short:  # written as one word
+        out |= {(place[: -len(s)], s) for s in SHORT if place.endswith(s) and len(place) > len(s) + 3}
+    return {(p, s) for p, s in out if p}
+
+
+def club_typed_forms(place: str | None, short: str | None) -> dict[int, float]:
+    """Forms of a club as typed: with place and legal form, without, with a cut place, with a typing error."""
+    out: dict[int, float] = {}
+    for p, s in _readings(place or "", short or ""):
+        whole = Rolled(p + s)
+        new = {_form("x", 0, whole.whole): CLUB_WEIGHTS["x"]}
         if not s:
-            out[f"o|{p}"] = CLUB_WEIGHTS["o"]
+            new[_form("o", 0, Rolled(p).whole)] = CLUB_WEIGHTS["o"]
         if len(p) >= 3:
-            out[f"p|{p}|{s}"] = CLUB_WEIGHTS["p"]
-        for d in shorter(p + s):
-            out.setdefault(f"e|{d}", CLUB_WEIGHTS["e"])
-            if len(p + s) >= 7:
-                for d2 in shorter(d):
-                    out.setdefault(f"d|{d2}", CLUB_WEIGHTS["d"])
+            new[_form("p", Rolled(p).whole, _hash(s))] = CLUB_WEIGHTS["p"]
+        for d in whole.shorter():
+            new.setdefault(_form("e", 0, d), CLUB_WEIGHTS["e"])
+        for k, w in new.items():
+            out[k] = max(out.get(k, 0.0), w)
     return out
 
 
+def club_registered_pieces(place: str | None, short: str | None) -> dict[int, float]:
+    return dict.fromkeys(whole_pieces(place + (short or "")) if place else [], 1.0)
+
+
+def club_typed_pieces(place: str | None, short: str | None) -> dict[int, float]:
+    return dict.fromkeys((h for p, s in _readings(place or "", short or "") for h in moved_pieces(p + s)), CLUB_WEIGHTS["d"])
+
+
 def explode_forms(df: DataFrame, key: list[str], args: list[str], forms: Callable, weighted: bool) -> DataFrame:
-    """key, form (a 64-bit hash of it) and weight: one row per form of each name. A map in Arrow batches."""
+    """key, form (a number, see _form) and weight: one row per form of each name. A map in Arrow batches."""
     schema = T.StructType([df.schema[k] for k in key] + [T.StructField("form", T.LongType())] + ([T.StructField("weight", T.FloatType())] if weighted else []))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
@@ -226,11 +313,11 @@ def explode_forms(df: DataFrame, key: list[str], args: list[str], forms: Callabl
                 for i, values in enumerate(zip(*[part[a] for a in args], strict=True)):
                     got = forms(*[None if v is None or v != v else v for v in values])
                     at += [i] * len(got)
-                    out += [xxh64_intdigest(x) for x in got]
+                    out += got
                     if weighted:
-                        weights += list(got.values())
+                        weights += got.values()
                 res = part[key].iloc[at].reset_index(drop=True)
-                res["form"] = np.array(out, dtype="uint64").view("int64")
+                res["form"] = np.array(out, dtype="int64")
                 if weighted:
                     res["weight"] = np.array(weights, dtype="float32")
                 yield res
@@ -238,47 +325,51 @@ def explode_forms(df: DataFrame, key: list[str], args: list[str], forms: Callabl
     return df.select(*dict.fromkeys(key + args)).mapInPandas(run, schema)
 
 
-MAX_CLUBS = 5_000  # registries of clubs up to this size go to every worker; larger ones are joined
+def read_clubs(df: DataFrame, text: str) -> DataFrame:
+    """df with place and short: the club's name read. A map in Arrow batches."""
 
+    @F.pandas_udf("place string, short string")
+    def read(c: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([club_name(x) for x in c], columns=["place", "short"])
 
-def club_distance(text: str | None, names: Iterable[str], most: int = 6) -> int:
-    """The least edit distance to any of a club's names; a text without a legal form is compared with the places as well."""
-    place, short = club_name(text)
-    best = most + 1
-    for n in names:
-        p, s = club_name(n)
-        best = min(best, distance(place + short, p + s, most), *([] if short else [distance(place, p, most)]))
-    return best
+    return df.withColumn("_read", read(text)).select(*df.columns, "_read.place", "_read.short")
 
 
-def match_clubs(texts: DataFrame, registry: DataFrame) -> DataFrame:
-    """text, club_id, score (weight of the best shared form), far (least edit distance to a name of the club), one row per club that
-    shares a form with the text."""
-    if registry.select("club_id").distinct().count() > MAX_CLUBS:
-        reg = stash(explode_forms(registry, ["club_id"], ["name"], club_registered_forms, False).distinct(), "clubforms")
-        best = explode_forms(texts, ["text"], ["text"], club_typed_forms, True).join(reg, "form").groupBy("text", "club_id").agg(F.max("weight").cast("double").alias("score"))
-        return _name_distance(best.join(registry.groupBy("club_id").agg(F.collect_set("name").alias("names")), "club_id")).select("text", "club_id", "score", "far")
-    known = [(r["club_id"], r["name"]) for r in registry.select("club_id", "name").collect()]
-    schema = T.StructType([T.StructField("text", T.StringType()), registry.schema["club_id"], T.StructField("score", T.DoubleType()), T.StructField("far", T.IntegerType())])
+def _swapped(typed: Column, registered: Column) -> Column:
+    """Whether two names are at most two errors apart, swaps of neighbours counted as one: for names further by plain edits."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        of: dict[str, set[int]] = {}
-        names: dict[int, set[str]] = {}
-        for club, name in known:
-            names.setdefault(club, set()).add(name)
-            for f in club_registered_forms(name):
-                of.setdefault(f, set()).add(club)
-        for pdf in batches:
-            rows = []
-            for text in pdf["text"]:
-                best: dict[int, float] = {}
-                for f, w in club_typed_forms(text).items():
-                    for club in of.get(f, ()):
-                        best[club] = max(best.get(club, 0.0), w)
-                rows += [(text, c, w, club_distance(text, names[c])) for c, w in best.items()]
-            yield pd.DataFrame(rows, columns=schema.names)
+    @F.pandas_udf("boolean")
+    def near(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([distance(x, y, 2) <= 2 for x, y in zip(a, b, strict=True)], dtype=bool)
+
+    return near(typed, registered)
 
-    return texts.select("text").mapInPandas(run, schema)
+
+def match_clubs(texts: DataFrame, registry: DataFrame) -> DataFrame:
+    """text, club_id, score (weight of the best shared form, by its rarity), far (least edit distance to a name of the club):
+    one row per club that shares a form with the text.
+
+    Forms of typed and registered clubs are equi-joined, whatever the number of clubs. A text that shares none is searched
+    with two errors: candidates share a fifth of the name, and are kept if they are two errors apart."""
+    reg = stash(read_clubs(registry.select("club_id", "name").distinct(), "name"), "clubsread")
+    typed = stash(read_clubs(texts.select("text").distinct(), "text"), "textsread")
+    names = reg.select("club_id", F.col("place").alias("p"), F.col("short").alias("s")).filter("p <> ''").distinct()
+
+    def met(of: DataFrame, typed_by: Callable, registered_by: Callable) -> DataFrame:
+        index = explode_forms(reg, ["club_id"], ["place", "short"], registered_by, False).distinct()
+        index = index.join(index.groupBy("form").agg(F.count(F.lit(1)).alias("_n")), "form")
+        hit = explode_forms(of, ["text"], ["place", "short"], typed_by, True).join(index, "form")
+        told = F.col("weight").cast("double") / (1 + CLUB_RARITY * F.log(F.col("_n").cast("double")))
+        return hit.groupBy("text", "club_id").agg(F.max(told).alias("score")).join(of, "text").join(names, "club_id")
+
+    apart = F.levenshtein(F.concat("place", "short"), F.concat("p", "s"))
+    far = F.when(F.col("short") == "", F.least(apart, F.levenshtein("place", "p"))).otherwise(apart)
+    near = stash(met(typed, club_typed_forms, club_registered_forms).groupBy("text", "club_id").agg(F.max("score").alias("score"), F.min(far).alias("far")), "clubsnear")
+    rest = typed.join(near.select("text").distinct(), "text", "left_anti")
+    pairs = met(rest, club_typed_pieces, club_registered_pieces).withColumn("far", far)
+    two = pairs.filter(F.col("far") <= 2).unionByName(pairs.filter(F.col("far").between(3, 4)).filter(_swapped(F.concat("place", "short"), F.concat("p", "s"))))
+    two = two.groupBy("text", "club_id").agg(F.lit(CLUB_WEIGHTS["d"]).alias("score"), F.min("far").alias("far"))
+    return near.unionByName(two)
 
 
 def resolve_clubs(texts: DataFrame, clubs: DataFrame, unknown: int = 9999) -> DataFrame:
@@ -291,19 +382,7 @@ def resolve_clubs(texts: DataFrame, clubs: DataFrame, unknown: int = 9999) -> Da
     registry = clubs.filter(F.col("club_id") != unknown).select("club_id", name.alias("name")).filter("name is not null").distinct()
     exact = registry.select(F.col("name").alias("text"), "club_id").groupBy("text").agg(F.min("club_id").alias("club_id"), F.countDistinct("club_id").alias("n")).filter("n = 1").select("text", "club_id", F.lit(2.0).alias("score"))
     texts = stash(texts.filter("text is not null").select("text").distinct(), "clubtexts")
-    told = texts.join(exact, "text")
-    rest = texts.join(exact, "text", "left_anti")
-    near = match_clubs(rest, registry)
-    top = near.groupBy("text").agg(F.max_by(F.struct("club_id", "score"), F.struct("score", -F.col("far"), -F.col("club_id"))).alias("b"), F.max(F.struct("score", -F.col("far"))).alias("m"), F.collect_list(F.struct("score", (-F.col("far")).alias("f"))).alias("all"))
-    told2 = top.filter(F.size(F.filter("all", lambda a: (a["score"] == F.col("b.score")) & (a["f"] == F.element_at(F.array_sort(F.transform(F.filter("all", lambda c: c["score"] == F.col("b.score")), lambda c: c["f"])), -1)))) == 1)
-    return told.unionByName(told2.select("text", F.col("b.club_id").alias("club_id"), F.col("b.score").alias("score")))
-
-
-def _name_distance(df: DataFrame) -> DataFrame:
-    """Adds far: the least edit distance between the text and any name of the club, both as place and legal form."""
-
-    @F.pandas_udf("int")
-    def far(text: pd.Series, names: pd.Series) -> pd.Series:
-        return pd.Series([club_distance(t, ns) for t, ns in zip(text, names, strict=True)], dtype="int32")
-
-    return df.withColumn("far", far("text", "names"))
+    near = stash(match_clubs(texts.join(exact, "text", "left_anti"), registry), "clubpairs")
+    top = near.groupBy("text").agg(F.max(F.struct("score", -F.col("far"))).alias("m")).select("text", F.col("m.score").alias("score"), (-F.col("m.col2")).alias("far"))
+    sole = near.join(top, ["text", "score", "far"]).groupBy("text").agg(F.min("club_id").alias("club_id"), F.max("score").alias("score"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+    return texts.join(exact, "text").unionByName(sole.select("text", "club_id", "score"))

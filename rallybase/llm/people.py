@@ -14,10 +14,11 @@ from . import names as N
 #: What stands for a missing player.
 PLACEHOLDERS = r"(?i)^\W*(vakant|vacant|wo|w\.?o\.?|reserv\w*|bye|tba|tbd|okänd|okänd spelare|n\.?n\.?|x+|-+|\?+|fri|spelare [0-9ab]*|lag [0-9ab]*)\W*$"
 
-KNOWN = 3  # so many persons make a part of a name a name of its own
+KNOWN = 0.0005  # this share of all persons, and no less than three, makes a part of a name a name of its own
 OTHER_NAME = 0.1  # what is left of the weight where a name of its own would have to be an error
 HOT = 0.0005  # forms with more than this share of the index are spread over slices
 WHOLE = 0.81  # rewritings above this change no letter: order, nicknames, left-out parts
+NEAR = 0.62  # least nearness of a spelling to the person of its group, with which it shares a fifth of the name
 
 
 def registry(raw: DataFrame, clubs: DataFrame, extra_clubs: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -43,10 +44,11 @@ def registered_index(spellings: DataFrame) -> DataFrame:
     return stash(N.explode_forms(spellings, ["person"], ["firstname", "lastname"], N.registered_forms, False).distinct(), "forms")
 
 
-def known_parts(spellings: DataFrame, least: int = KNOWN) -> DataFrame:
-    """part: folded parts of names that several persons have, so that it is a name of its own and no error for another."""
+def known_parts(spellings: DataFrame, share: float = KNOWN) -> DataFrame:
+    """part: folded parts of names that a share of all persons have, so that it is a name of its own and no error for another."""
     own = spellings.select("person", F.explode(_parts(F.concat_ws(" ", "firstname", "lastname"))).alias("part")).distinct()
-    return own.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("part")
+    every = spellings.agg(F.countDistinct("person").alias("_all"))  # one row
+    return own.groupBy("part").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(every), F.col("n") >= F.greatest(F.lit(3.0), F.col("_all") * share)).select("part")
 
 
 def _parts(c: Column) -> Column:
@@ -100,8 +102,14 @@ def link_names(rows: DataFrame, persons: DataFrame, spellings: DataFrame, person
     who = top.filter((F.col("best") >= least) & (F.col("total") > F.coalesce("_second", F.lit(-1.0)) + 0.05)).select("grp", "person", "best")
     mine = units.groupBy("name_id", "grp").agg(F.any_value("name").alias("name")).join(who, "grp")
     own = scored.groupBy("name_id", "grp", "person").agg(F.max("score").alias("score"))
-    mine = mine.join(own, ["name_id", "grp", "person"], "left").join(persons.select("person", X.token_key(F.col("registered")).alias("_reg")), "person")
-    near = X.nearness(X.token_key(F.col("name")), F.col("_reg"))
-    linked = mine.filter(F.col("score").isNotNull() & ((F.col("score") >= 0.3) | (F.col("best") >= 1.0)) | (F.col("best") >= 1.0) & (near >= 0.62))
-    linked = linked.select("name_id", "grp", "person", F.coalesce("score", F.lit(0.0)).alias("score"))
+    mine = stash(mine.join(own, ["name_id", "grp", "person"], "left").join(persons.select("person", "registered"), "person"), "mine")
+    sure = F.col("best") >= 1.0
+    linked = mine.filter(F.col("score").isNotNull() & ((F.col("score") >= 0.3) | sure)).select("name_id", "grp", "person", "score")
+    # What shares no form with the sure person of its group is met by the fifths of that person's name.
+    rest = mine.filter(F.col("score").isNull() & sure).select("name_id", "grp", "person", "name", "registered")
+    typed = N.explode_forms(rest, ["name_id", "grp", "person"], ["name"], N.typed_pieces, False)
+    held = N.explode_forms(rest.select("grp", "person", "registered").distinct(), ["grp", "person"], ["registered"], N.registered_pieces, False)
+    met = typed.join(held, ["grp", "person", "form"]).select("name_id", "grp", "person").distinct().join(rest, ["name_id", "grp", "person"])
+    met = met.filter(X.nearness(X.token_key(F.col("name")), X.token_key(F.col("registered"))) >= NEAR)
+    linked = linked.unionByName(met.select("name_id", "grp", "person", F.lit(0.0).alias("score")))
     return rows.select("row_id", "name_id", "grp").join(linked, ["name_id", "grp"]).select("row_id", "person", "score")
