@@ -106,7 +106,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_residue_report(spark: SparkSession, d: str) -> DataFrame:
     """Marks and coverage of every text that has any."""
-    return residue.mark_residue(table(spark, d, "documents")).select("doc_id", "n_marks", F.round("coverage", 6).alias("coverage"), "kinds", "excluded")
+    return residue.mark_residue(table(spark, d, "documents")).select("doc_id", "n_marks", F.round("coverage", 6).alias("coverage"), F.round("part_coverage", 6).alias("part_coverage"), "kinds", "excluded")
 
 
 def queries() -> dict:
@@ -114,4 +114,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p10_found": residue.as_sql()}
+    return {}

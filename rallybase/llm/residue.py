@@ -1,9 +1,10 @@
 """Template residue, filler, failed values, error pages and script notices in texts.
 
 A multi-pattern automaton marks phrases and the openings of placeholders in one pass over the whole text; placeholders are
-confirmed by an anchored pattern at the place found, filler words by standing in a run. Each mark has a weight; a text is
-excluded when the weighted length of its marks is high for its own length. Unmistakable marks weigh enough to exclude a text
-of any length, words that real texts use as well only count by their coverage.
+confirmed by an anchored pattern at the place found, filler words by standing in a run. A mark counts for its length times
+the weight of its kind. A text is excluded when the marks cover enough of it, or of one of its sentences or lines, as texts
+are affected wholly or in part: an error page or a notice is a sentence of little else, a report that mentions a script
+or an error is not.
 """
 
 from __future__ import annotations
@@ -15,7 +16,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-ALONE = 1.0  # an unmistakable mark
+#: Weight of a mark's length by its kind. A placeholder spoils the sentence it stands in, however short it is; what real
+#: texts write in brackets as well weighs little.
+WEIGHTS = {"error": 1.0, "script": 1.0, "value": 1.0, "filler": 2.0, "placeholder": 5.0, "bracket": 0.3}
+MIN_COVERAGE = 0.2
 PHRASES: dict[str, tuple[str, ...]] = {
     "error": (
         "internal server error", "traceback (most recent call last)", "keyerror:", "valueerror:", "typeerror:", "nullpointerexception", "object reference not set", "the server met an unexpected condition",
@@ -24,6 +28,8 @@ PHRASES: dict[str, tuple[str, ...]] = {
         "logga in på nytt för att fortsätta", "log ind igen for at fortsætte", "sidan är stängd för underhåll", "siden er lukket for vedligeholdelse", "down for maintenance", "tjänsten är tillfälligt otillgänglig", "tjenesten er midlertidigt utilgængelig",
         "temporarily unavailable due to", "fel vid hämtning av sidan", "fejl ved hentning af siden", "error loading page", "could not load article", "kunde inte läsas in (felkod", "kunne ikke indlæses (fejlkode", "could not be loaded (error",
         "database connection failed", "warning: database", "warning: mysql", "fatal error:", "stack trace:", "sidan kunde inte visas", "sidan kunde inte hittas", "siden blev ikke fundet", "the page could not be found", "försök igen om ",
+        *(f"{word} {code}" for word in ("error", "http", "fel", "fejl") for code in (400, 401, 403, 404, 408, 410, 429, 500, 502, 503, 504)), "bad request", "page not found", "no longer exists", "finns inte längre", "findes ikke længere",
+        "vi hittar inte sidan", "vi kan ikke finde siden", "we cannot find the page", "we can't find the page", "kunde inte hittas", "kunne ikke findes", "could not be found", "länken kan vara gammal", "linket kan være forældet", "the link may be outdated", "the link may be old",
     ),
     "script": (
         "kräver javascript", "kräver att javascript är", "requires javascript", "kræver javascript", "aktivera javascript", "aktivér javascript", "enable javascript", "slå på javascript", "turn on javascript", "until javascript is switched on", "javascript is disabled",
@@ -45,11 +51,15 @@ _WORD = r"[A-Za-zÅÄÖåäöÆØæø][\w.]*"
 #: Openings of placeholders, and what has to stand there.
 PLACEHOLDERS: tuple[tuple[str, str], ...] = (
     ("{{", r"\{\{\s*[\w.]+\s*(\|[^{}\n]*)?\}\}"), ("${", r"\$\{\s*[\w.]+\s*\}"), ("[[", r"\[\[\s*[\w.]+\s*\]\]"), ("<<", r"<<\s*[\w.]+\s*>>"), ("<%", r"<%=?\s*[\w.]+\s*%>"),
-    ("__", rf"__{_WORD}__"), ("#", rf"#{_WORD}#"), ("@", rf"@{_WORD}@"), ("%", rf"%{_WORD}%"), ("xxxx", r"XXXX-[\w.]+"), ("{", r"\{[A-Za-z][\w.]+\}"), ("[", r"\[[A-Za-z][A-Za-z_.]+\]"),
-    ("[", r"\[(ange|insert|infoga|fyll i|indsæt|angiv|enter|skriv)\s[^\]\n]{1,60}\]"), ("(", r"\((fyll i|ange|infoga|insert|udfyld|indsæt|fill in)\s[\w.]+\)"),
+    ("__", rf"__{_WORD}__"), ("#", rf"(?<!\w)#{_WORD}#"), ("@", rf"(?<!\w)@{_WORD}@"), ("%", rf"(?<!\w)%{_WORD}%"), ("xxxx", r"XXXX-[\w.]+"), ("{", r"\{[A-Za-z][\w.]+\}"), ("[", r"\[[A-Za-z][A-Za-z_.]+\]"),
+    ("[", r"\[(ange|insert|infoga|fyll i|indsæt|angiv|enter|skriv)\s[^\[\]\n]+\]"), ("(", r"\((fyll i|ange|infoga|insert|udfyld|indsæt|fill in)\s[\w.]+\)"),
 )
 
 
+_NAME_IN_BRACKETS = re.compile(r"\[([A-ZÅÄÖÆØ][a-zåäöæø]+|sic|red|ref|citat|quote|note|not)\.?\]")
+_SENTENCE_END = re.compile(r"[.!?][\s\"'”)]*\s")
+
+
 class ResidueMarker:
     def __init__(self) -> None:
         import ahocorasick
@@ -68,8 +78,7 @@ class ResidueMarker:
         self.auto.make_automaton()
 
     def marks(self, text: str) -> list[tuple[int, int, str]]:
-        """start, end, kind of every mark, in any order; white space counts as one space."""
-        text = re.sub(r"\s+", " ", text)
+        """start, end, kind of every mark, in any order, in a text whose white space is single spaces."""
         low = text.lower()
         if len(low) != len(text):
             text = low
@@ -79,7 +88,7 @@ class ResidueMarker:
                 a, b = last + 1 - size, last + 1
                 if what == "opening":
                     if m := x.match(text, a):
-                        out.append((a, m.end(), "placeholder"))
+                        out.append((a, m.end(), "bracket" if _NAME_IN_BRACKETS.match(text, a) else "placeholder"))
                 elif (a and low[a - 1].isalnum() and low[a].isalnum()) or (b < len(low) and low[b].isalnum() and low[b - 1].isalnum()):
                     continue  # inside a longer word
                 elif what == "phrase":
@@ -95,41 +104,68 @@ class ResidueMarker:
             run.append((a, b))
         return out
 
-
-def mark_residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_coverage: float = 0.05, weight: float = 1e9) -> DataFrame:
-    """id, n_marks, coverage (share of the text's characters inside marks), kinds, excluded: one row per text with a mark.
-
-    A text is excluded when the weighted coverage (each unmistakable mark's length times weight, by the text's length)
-    reaches min_coverage; with weight 1 only texts that consist of residue in that part are. Null and empty texts have no
-    marks; texts of any length are read whole; repeated rows each give theirs. One pass over the rows, no shuffle.
+    def judge(self, text: str) -> tuple[int, float, float, str] | None:
+        """Number of marks, plain coverage of the whole text, greatest weighted coverage of the text, a sentence or a line, and
+        the kinds; None for a text without marks."""
+        flat = re.sub(r"\s+", " ", text.strip())
+        marks = self.marks(flat)
+        if not marks:
+            return None
+        plain = sum(b - a for a, b, _ in _apart(marks)) / len(flat)
+        top = max(_weighted(marks, 0, len(flat)), *_by_part(marks, [m.end() for m in _SENTENCE_END.finditer(flat)], len(flat)))
+        for line in text.splitlines() if "\n" in text.strip() else ():
+            line = re.sub(r"\s+", " ", line.strip())
+            if line and (own := self.marks(line)):
+                top = max(top, _weighted(own, 0, len(line)))
+        return len(marks), plain, top, ",".join(sorted({k for _, _, k in marks}))
+
+
+def _apart(marks: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The marks without what an earlier one covers already; of those that begin together the longest comes first."""
+    out, end = [], 0
+    for a, b, kind in sorted(marks, key=lambda m: (m[0], -m[1])):
+        if b > end:
+            out.append((max(a, end), b, kind))
+            end = b
+    return out
+
+
+def _weighted(marks: list[tuple[int, int, str]], start: int, stop: int) -> float:
+    return sum((b - a) * WEIGHTS[kind] for a, b, kind in _apart(marks)) / max(1, stop - start)
+
+
+def _by_part(marks: list[tuple[int, int, str]], ends: list[int], length: int) -> list[float]:
+    """Weighted coverage of every part of the text that holds a mark; parts end at ends. A mark over a border is cut there."""
+    bounds = [0, *[e for e in ends if 0 < e < length], length]
+    covered: dict[int, float] = {}
+    at = 0
+    for a, b, kind in _apart(marks):
+        while bounds[at + 1] <= a:
+            at += 1
+        i = at
+        while a < b:
+            upto = min(b, bounds[i + 1])
+            covered[i] = covered.get(i, 0.0) + (upto - a) * WEIGHTS[kind]
+            a, i = upto, i + 1
+    return [c / (bounds[i + 1] - bounds[i]) for i, c in covered.items()]
+
+
+def mark_residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """id, n_marks, coverage (share of the text's characters inside marks), part_coverage (greatest weighted coverage of the
+    text or one of its sentences or lines), kinds, excluded: one row per text with a mark.
+
+    A text is excluded when part_coverage reaches min_coverage. Null and empty texts have no marks; texts of any length are
+    read whole, in time that grows with their length; repeated rows each give theirs. One pass over the rows, no shuffle.
     """
-    schema = T.StructType([df.schema[id_col], T.StructField("n_marks", T.IntegerType()), T.StructField("coverage", T.DoubleType()), T.StructField("kinds", T.StringType()), T.StructField("excluded", T.BooleanType())])
+    schema = T.StructType([df.schema[id_col], T.StructField("n_marks", T.IntegerType()), T.StructField("coverage", T.DoubleType()), T.StructField("part_coverage", T.DoubleType()), T.StructField("kinds", T.StringType()), T.StructField("excluded", T.BooleanType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         marker = ResidueMarker()
         for pdf in batches:
             rows = []
             for key, text in zip(pdf["_id"], pdf["_text"], strict=True):
-                if not text or not (marks := marker.marks(text)):
-                    continue
-                covered, end = 0, 0
-                for a, b, _ in sorted(marks):
-                    covered += max(0, b - max(a, end))
-                    end = max(end, b)
-                part = covered / len(text)
-                rows.append((key, len(marks), part, ",".join(sorted({k for _, _, k in marks})), part * weight >= min_coverage))
+                if text and (got := marker.judge(text)):
+                    rows.append((key, *got[:3], got[3], got[2] >= min_coverage))
             yield pd.DataFrame(rows, columns=schema.names).astype({"n_marks": "int32"})
 
     return df.filter(df[text_col].isNotNull()).select(df[id_col].alias("_id"), df[text_col].alias("_text")).mapInPandas(run, schema)
-
-
-def as_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "text") -> str:
-    """The same decision as one regular expression per kind in SQL, for the check: slower and without spans."""
-    edge, out = r"[^\p{L}\p{N}]", []
-    for phrases in PHRASES.values():
-        parts = [(f"(?:^|{edge})" if p[0].isalnum() else "") + re.sub(r"([\[\](){}.*+?^$|\\])", r"\\\1", p) + (f"(?:{edge}|$)" if p[-1].isalnum() else "") for p in phrases]
-        out.append("(?:" + "|".join(parts) + ")")
-    out.append(f"(?:^|{edge})(?:(?:{'|'.join(FILLER_WORDS)})(?:{edge}{{1,2}}|$)){{{FILLER_RUN}}}")
-    out += [pattern.replace(r"\w", r"\p{L}\p{N}_") for _, pattern in PLACEHOLDERS]
-    conditions = " OR ".join(f"regexp_matches(t, '(?i){x.replace(chr(39), chr(39) * 2)}')" for x in out)
-    return f"SELECT DISTINCT {id_col} FROM (SELECT {id_col}, regexp_replace({text_col}, '\\s+', ' ', 'g') AS t FROM {table}) WHERE {conditions}"
