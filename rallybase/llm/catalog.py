@@ -85,19 +85,37 @@ def p8_candidates(spark: SparkSession, d: str) -> DataFrame:
     return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "bench_item"))
 
 
+#: The tree of these documents: domains of the sources, and what the language codes stand for.
+DOMAINS = {"match_report": "competition", "tournament_invite": "competition", "ranking_bulletin": "competition", "club_news": "club", "junior_camp": "club", "forum_post": "club", "licence_notice": "office", "archive_scan": "archive"}
+LANGUAGES = {"sv": "sv", "swe": "sv", "en": "en", "eng": "en", "da": "da", "dan": "da", "no": "no", "nor": "no", "nb": "no"}
+
+
+def _mixed(spark: SparkSession, d: str, **more: float) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"), domains=DOMAINS, languages=LANGUAGES, **more)
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     """The chosen records with their repeats."""
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
+    return _mixed(spark, d)[0]
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """The actual shares."""
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[1]
+    return _mixed(spark, d)[1]
+
+
+def p9_mix_short(spark: SparkSession, d: str) -> DataFrame:
+    """The chosen records when a half more is wanted than the scarcest source can give its share of: siblings take it over."""
+    return _mixed(spark, d, stretch=1.5)[0]
+
+
+def p9_shares_short(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d, stretch=1.5)[1]
 
 
-def p9_shares_of_all(spark: SparkSession, d: str, total: float = 1e12) -> DataFrame:
+def p9_shares_of_all(spark: SparkSession, d: str) -> DataFrame:
     """The shares when more is wanted than there is: every source at its limit."""
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"), total=total)[1]
+    return _mixed(spark, d, total=1e12)[1]
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -110,7 +128,7 @@ def p10_residue_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_records, p4_found, p4_links, p7_found, p8_found, p8_candidates, p9_mix, p9_shares, p9_shares_of_all, p10_found, p10_residue_report)}
+    return {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_records, p4_found, p4_links, p7_found, p8_found, p8_candidates, p9_mix, p9_shares, p9_mix_short, p9_shares_short, p9_shares_of_all, p10_found, p10_residue_report)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -52,6 +52,35 @@ def test_more_than_there_is(spark):
     assert sorted((r["doc_id"], r["repeats"]) for r in chosen.collect()) == [(1, 2), (2, 1)]
 
 
+@needs
+def test_short_source_is_made_up_by_its_siblings(spark):
+    docs = [(i, "ett två tre fyra", "sv", "a1" if i < 10 else "a2" if i < 60 else "b1", "x") for i in range(160)]
+    d, t = frames(spark, docs, [("a1", 0.25, 1), ("a2", 0.25, 2), ("b1", 0.5, 1)])
+    one = mixing.count_tokens(d.limit(1), "text").first()["n_tokens"]
+    _, shares = mixing.mix(d, t, total=100.0 * one, domains={"a1": "a", "a2": "a"}, languages={"sv": "sv"})
+    assert {r["source"]: r["tokens_chosen"] // one for r in shares.collect()} == {"a1": 10, "a2": 40, "b1": 50}
+    _, shares = mixing.mix(d, t, total=100.0 * one)  # without a tree the shortage goes to all the others
+    assert {r["source"]: r["tokens_chosen"] // one for r in shares.collect()} == {"a1": 10, "a2": 30, "b1": 60}
+
+
+@needs
+def test_every_epoch_has_its_order(spark):
+    docs = [(i, "ett två tre fyra", "sv", "a", "x") for i in range(40)]
+    d, t = frames(spark, docs, [("a", 1.0, 9)])
+    one = mixing.count_tokens(d.limit(1), "text").first()["n_tokens"]
+    more = [{r["doc_id"] for r in mixing.mix(d, t, total=(40.0 * e + 20) * one)[0].filter(f"repeats = {e + 1}").collect()} for e in (0, 1, 2)]
+    assert all(len(m) == 20 for m in more)
+    assert more[0] != more[1] != more[2] != more[0]
+
+
+@needs
+def test_many_targets(spark):
+    d, t = frames(spark, [(1, "ett", "sv", "s7", ""), (2, "ett", "sv", "s12345", "")], [(f"s{i}", 1 / 12_500, 2) for i in range(12_500)])
+    chosen, shares = mixing.mix(d, t, total=1e6)
+    assert sorted((r["doc_id"], r["repeats"]) for r in chosen.collect()) == [(1, 2), (2, 2)]
+    assert shares.count() == 12_500
+
+
 @needs
 def test_empty(spark):
     d, t = frames(spark, [(1, "a", "sv", "x", "")], [("x", 1.0, 1)])
