@@ -16,6 +16,15 @@ def _majority(df: DataFrame, keys: list[str], value: str, out: str, unique: bool
     return (best.filter("_k = 1") if unique else best).drop("_k")
 
 
+def parse_licences(raw: DataFrame) -> DataFrame:
+    """Licence rows with what each one says by itself: _person, _club and _season are null where they are missing or unreadable."""
+    return raw.select(
+        "row_id", X.digits_id("player_id_ext").alias("_person"), X.digits_id("club_id_ext").alias("_club"), X.season_start(F.col("season_label")).alias("_season"), "season_id_ext",
+        X.year_of(F.col("year_born")).alias("year"), "firstname", "lastname", "club_name", "license_info_raw", "content_hash", "last_seen_at",
+        F.to_date("last_seen_at").alias("seen"), X.token_key(F.concat_ws(" ", "firstname", "lastname")).alias("name_key"), X.skeleton(F.col("club_name")).alias("club_key"),
+    )
+
+
 def read_licences(raw: DataFrame) -> DataFrame:
     """row_id, person, season, club, year, firstname, lastname, club_name, license_info_raw, seen (date), name_key, club_key.
 
@@ -24,12 +33,7 @@ def read_licences(raw: DataFrame) -> DataFrame:
     and club; a season that can't be read from the one its number stands for in other rows. What stays unknown is null. No
     row is dropped, repeated rows stay.
     """
-    base = raw.select(
-        "row_id", X.digits_id("player_id_ext").alias("_person"), X.digits_id("club_id_ext").alias("_club"), X.season_start(F.col("season_label")).alias("_season"), "season_id_ext",
-        X.year_of(F.col("year_born")).alias("year"), "firstname", "lastname", "club_name", "license_info_raw", "content_hash", "last_seen_at",
-        F.to_date("last_seen_at").alias("seen"), X.token_key(F.concat_ws(" ", "firstname", "lastname")).alias("name_key"), X.skeleton(F.col("club_name")).alias("club_key"),
-    )
-    base = stash(base, "parsed")
+    base = stash(parse_licences(raw), "parsed")
     seasons = _majority(base.filter(F.col("season_id_ext").isNotNull()), ["season_id_ext"], "_season", "_season2")
     clubs = _majority(base.filter(F.col("club_key").isNotNull() & (F.col("club_key") != "")), ["club_key"], "_club", "_club2")
     out = base.join(seasons, "season_id_ext", "left").join(clubs, "club_key", "left")
