@@ -1,3 +1,4 @@
+import pathlib
 from datetime import date, datetime
 
 import pytest
@@ -157,11 +158,57 @@ def test_batches(spark):
         (11, None, None, None, None, None, None, None, None, None, "h5", datetime(2020, 9, 6), "x"),
     ]
     want = {(1, 2), (1, 4), (5, 7)}
-    for steps in (1, 2, 6):  # the same however the history is cut into batches
+    for steps in (1, 3):  # the same however the history is cut into batches
         assert found(incremental.replay(spark, spark.createDataFrame(rows, LIC), steps)) == want
     assert incremental.replay(spark, spark.createDataFrame([], LIC)).mapping is None
 
 
+def files(folder):
+    return {p: p.stat().st_mtime_ns for p in pathlib.Path(folder).rglob("*") if p.is_file()}
+
+
+def test_history_only_grows(spark, tmp_path):
+    """A batch writes its own files and touches no other; the state is found again by its folder."""
+    d = lambda n: date(2020, 9, n)
+    whole = [lic(i, str(100 + i), f"Ann{'abcdefghij'[i]}", "Ektyvlund", day=d(1 + i % 2)) for i in range(10)]
+    frame = lambda rows: spark.createDataFrame(rows, LIC)
+    state = incremental.ingest(incremental.State(spark, str(tmp_path / "h")), frame(whole))
+    before = files(tmp_path)
+    # Two records without a number stand for one, the second becomes the link between them and the first rows.
+    again = [lic(20, "0103", "ANND", "Ektyvlund", day=d(5)), lic(21, None, "Annd", "Ektyvlund", day=d(6)), lic(22, "900", "Ny", "Person", day=d(6))]
+    state = incremental.ingest(incremental.State(spark, str(tmp_path / "h")), frame(again))
+    after = files(tmp_path)
+    assert {p: t for p, t in after.items() if p in before} == before
+    assert all("batch000001" in str(p) for p in set(after) - set(before))
+    assert state.batches == incremental.State(spark, str(tmp_path / "h")).batches == 2
+    assert found(state) == {(3, 20), (3, 21)}
+    state = incremental.ingest(state, frame([lic(30, "900", "Person", "Ny", "90", day=d(9)), lic(31, "103", "Annd", "Ektyvlund", "1991", day=d(9))]))
+    assert found(state) == {(3, 20), (3, 21), (3, 31), (22, 30)}
+
+
+def test_representatives_are_followed(spark):
+    """A representative that joins an older one takes its records along, over batches."""
+    state = incremental.State(spark)
+    d = lambda n: date(2020, 9, n)
+    frame = lambda rows: spark.createDataFrame(rows, LIC)
+    # 1 and 2 state the same but nothing tells: another number each. 3 has 2's number; 4 has no number and 1's hash and name.
+    incremental.ingest(state, frame([lic(1, "100", "Ann", "Ektyvlund", day=d(1))]))
+    incremental.ingest(state, frame([(2, "2020-21", None, "Porsbenning BTF", "3002", None, "Ann", "Ektylund", "1990", "A-licens Senior (2020.08.01)", "hx", datetime(2020, 9, 2), "x")]))
+    incremental.ingest(state, frame([(3, "2020-21", None, "Porsbenning BTF", "3002", None, "Ann", "Ektylund", "1990", "A-licens Senior, (2020-08-01)", "hx", datetime(2020, 9, 3), "x")]))
+    got = found(state)
+    assert {b for _, b in got} >= {3} and all(a == 1 for a, b in got if (1, 2) in got)
+
+
+def test_learned_weights_decide(spark):
+    """Season, club, licences and a part of the name are alike and no number is given: only the weights tell that it is another."""
+    names = "Mekubsten Ektyvlund Tomamhage Bokifdal Sanotvik Relighult Glifibnas Hakonstad Pegerkvist Oddadman Laletstrom Fulalberg".split()
+    rows = [lic(i, str(100 + i), "Ann", n, str(1950 + 3 * i), day=date(2020, 9, 1)) for i, n in enumerate(names)]
+    rows += [lic(100 + i, None, "Ann", n[:3] + n[4:], str(1950 + 3 * i), day=date(2020, 9, 2)) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, LIC)
+    assert found(incremental.replay(spark, df, 1)) == {(i, 100 + i) for i in range(len(names))}
+    assert found(incremental.replay(spark, df, 1, least=0.0)) == {(0, 100 + i) for i in range(len(names))}
+
+
 def weight(typed, first, last):
     reg = N.registered_forms(first, last)
     return max((w for f, w in N.typed_forms(typed).items() if f in reg), default=0)
