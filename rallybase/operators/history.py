@@ -14,10 +14,19 @@ from ..functions import text as X
 from ..session import stash
 from .licences import _majority, read_licences
 
-FANOUT, DEPTH = 16, 3
+FANOUT = 16
+PER_LEAF = 64  # keys a leaf should hold: the tree grows with the keys, so that a change touches as few rows at any size
 
 
-def merkle_nodes(snapshots: DataFrame, key: str = "key", state: str = "state", fanout: int = FANOUT, depth: int = DEPTH) -> list[DataFrame]:
+def tree_depth(keys: int, fanout: int = FANOUT) -> int:
+    """Levels below the root for a number of keys; at most seven, so that a leaf's number stays small."""
+    depth = 1
+    while depth < 7 and fanout**depth * PER_LEAF < keys:
+        depth += 1
+    return depth
+
+
+def merkle_nodes(snapshots: DataFrame, key: str = "key", state: str = "state", fanout: int = FANOUT, depth: int = 3) -> list[DataFrame]:
     """Hashes of the nodes of every snapshot, from the root (level 0) to the leaves (level depth): snap, node, digest.
 
     Keys are unique in a snapshot; a node's digest doesn't depend on the order of its rows. At most snapshots x fanout^level
@@ -32,12 +41,14 @@ def merkle_nodes(snapshots: DataFrame, key: str = "key", state: str = "state", f
     return out[::-1]
 
 
-def diff_snapshots(snapshots: DataFrame, fanout: int = FANOUT, depth: int = DEPTH) -> DataFrame:
+def diff_snapshots(snapshots: DataFrame, fanout: int = FANOUT, depth: int | None = None) -> DataFrame:
     """snap, key, state, state_before of every key whose state differs from the snapshot before.
 
     snapshots: snap (whole numbers, one step apart), key, state; keys unique in a snapshot. A key's first state has no state
-    before. Rows with a null key or snap are ignored; a null state is a state."""
+    before. Rows with a null key or snap are ignored; a null state is a state. The tree's depth follows from the number of keys."""
     snapshots = snapshots.filter(F.col("snap").isNotNull() & F.col("key").isNotNull())
+    if depth is None:
+        depth = tree_depth(snapshots.groupBy("snap").count().agg(F.max("count")).first()[0] or 0, fanout)
     nodes = merkle_nodes(snapshots, fanout=fanout, depth=depth)
     leaf = F.pmod(F.xxhash64("key"), F.lit(fanout**depth)).cast("int")
     changed = compare_down(nodes, fanout)
@@ -62,6 +73,39 @@ def compare_down(nodes: list[DataFrame], fanout: int) -> DataFrame:
     return differing
 
 
+def append_snapshot(folder: str, snapshot: DataFrame, number: int, depth: int = 4, fanout: int = FANOUT) -> DataFrame:
+    """key, state, state_before of what a new snapshot (key, state) changes against the one before, number - 1.
+
+    folder holds the digests of every snapshot's leaves and the rows of every snapshot in order of their leaf. The new
+    snapshot's are added; of the one before only the digests and the rows of differing leaves are read. Rows without a key
+    are ignored; keys that are gone have a null state and gone = true. Depth and fanout have to be the same for a folder."""
+    spark = snapshot.sparkSession
+    leaf = F.pmod(F.xxhash64("key"), F.lit(fanout**depth)).cast("int")
+    rows = f"{folder}/rows/{number:06d}"
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    snapshot.filter("key is not null").select("key", "state", leaf.alias("node")).repartitionByRange(ranges, "node").sortWithinPartitions("node").write.mode("overwrite").parquet(rows)
+    now = spark.read.parquet(rows)
+    levels = merkle_nodes(now.select(F.lit(number).alias("snap"), "key", "state"), fanout=fanout, depth=depth)
+    for i, level in enumerate(levels):
+        level.select("node", "digest").write.mode("overwrite").parquet(f"{folder}/digests/{number:06d}/level{i}")
+    read = lambda n, i: spark.read.schema("node int, digest bigint").parquet(f"{folder}/digests/{n:06d}/level{i}")
+    first = number == 0
+    suspects = None
+    for i in range(len(levels)):
+        old = read(number - 1, i).withColumnRenamed("digest", "_before") if not first else spark.createDataFrame([], "node int, _before bigint")
+        both = read(number, i).join(old, "node", "full")
+        if suspects is not None:
+            both = both.withColumn("_up", F.floor(F.col("node") / fanout).cast("int")).join(suspects, "_up", "left_semi")
+        differing = both.filter(~F.col("digest").eqNullSafe(F.col("_before"))).select("node")
+        suspects = differing.withColumnRenamed("node", "_up")
+    new = now.join(differing, "node", "left_semi").select("key", "state", F.lit(True).alias("_new"))
+    if first:
+        return new.select("key", "state", F.lit(None).cast("string").alias("state_before"), F.lit(False).alias("gone"))
+    old = spark.read.parquet(f"{folder}/rows/{number - 1:06d}").join(differing, "node", "left_semi").select("key", F.col("state").alias("state_before"), F.lit(True).alias("_old"))
+    both = new.join(old, "key", "full").filter(F.col("_new").isNull() | F.col("_old").isNull() | ~F.col("state").eqNullSafe(F.col("state_before")))
+    return both.select("key", "state", "state_before", F.col("_new").isNull().alias("gone"))
+
+
 def order_clubs(seasons: Column) -> Column:
     """Fold a person's seasons (array of season, clubs in order of their first licence) into seasons with the club held
     before in first place."""
@@ -149,7 +193,6 @@ def club_history(raw: DataFrame, transitions: DataFrame) -> DataFrame:
     places = _majority(lic.withColumn("_place", X.club_place(F.col("club_name"))), ["club"], "_place", "place")
     changes = versions.filter("club_before is not null").join(places, "club", "left").join(places.select(F.col("club").alias("club_before"), F.col("place").alias("place_before")), "club_before", "left")
     days = link_transitions(changes.select("person", "season", "club_before", "club", "place", "place_before"), persons, transitions, clubs)
-#.filter("club_before is not null").select("person", "season", "club_before", "club"), persons, transitions, clubs)
     out = versions.join(days, ["person", "season", "club"], "left")
     valid_from = F.when(F.col("club_before").isNotNull(), F.col("day"))
     out = out.withColumn("valid_from", F.coalesce(valid_from, F.make_date("season", F.lit(7), F.lit(1))))

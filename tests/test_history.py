@@ -80,3 +80,22 @@ def test_random_histories_against_brute_force(spark):
                 held = c
     rng.shuffle(rows)
     assert {v[:3] for v in versions(spark, rows)} == want
+
+
+def test_depth_follows_the_keys():
+    assert [history.tree_depth(n) for n in (0, 1_000, 1_025, 20_000, 10**6, 10**9, 10**15)] == [1, 1, 2, 3, 4, 6, 7]
+
+
+def test_snapshots_are_appended(spark, tmp_path):
+    """A new snapshot is compared with the digests kept of the one before; the result is that of the whole comparison."""
+    snaps = [{f"k{i}": "a" for i in range(300)}]
+    snaps.append({**snaps[0], "k7": "b", "k8": None, "new": "c"})
+    snaps.append({k: v for k, v in snaps[1].items() if k != "k9"})
+    frame = lambda s: spark.createDataFrame(list(s.items()), "key string, state string")
+    got = [sorted(tuple(r) for r in history.append_snapshot(str(tmp_path), frame(s), n, depth=2).collect()) for n, s in enumerate(snaps)]
+    assert len(got[0]) == 300
+    assert got[1] == [("k7", "b", "a", False), ("k8", None, "a", False), ("new", "c", None, False)]
+    assert got[2] == [("k9", None, "a", True)]
+    whole = spark.createDataFrame([(n, k, v) for n, s in enumerate(snaps) for k, v in s.items()], "snap int, key string, state string")
+    changed = {(r["snap"], r["key"], r["state"], r["state_before"]) for r in history.diff_snapshots(whole).filter("snap > 0").collect()}
+    assert changed == {(1, k, s, b) for k, s, b, gone in got[1] if not gone}
