@@ -38,6 +38,12 @@ def p3_records(spark: SparkSession, d: str) -> DataFrame:
     return survivor.surviving_records(members, "player_id", ["name", "year_born", "date_born", "is_verified"], "is_verified", "born", "row_updated").drop("group_id")
 
 
+def p3_records_of_given(spark: SparkSession, d: str) -> DataFrame:
+    """Surviving records of groups that are given: the players of one last name and year."""
+    members = table(spark, d, "player").filter("lastname is not null and year_born is not null").withColumn("group_id", F.concat_ws("/", F.lower("lastname"), "year_born")).withColumn("born", F.col("date_born"))
+    return survivor.surviving_records(members, "player_id", ["firstname", "date_born", "is_verified"], "is_verified", "born", "row_updated")
+
+
 def _spellings(spark: SparkSession, d: str) -> DataFrame:
     """table_name, field_name, row_id, entity_key, typed, registered spellings of every linked text."""
     matches, moves, clubs = table(spark, d, "tournament_class_match_raw"), table(spark, d, "player_transition_raw"), table(spark, d, "club")
@@ -127,9 +133,28 @@ def p10_residue_report(spark: SparkSession, d: str) -> DataFrame:
     return residue.mark_residue(table(spark, d, "documents")).select("doc_id", "n_marks", F.round("coverage", 6).alias("coverage"), F.round("part_coverage", 6).alias("part_coverage"), "kinds", "excluded")
 
 
+_GIVEN = """
+WITH m AS (SELECT lower(lastname) || '/' || year_born AS group_id, * FROM player WHERE lastname IS NOT NULL AND year_born IS NOT NULL),
+w AS (SELECT *, CASE WHEN is_verified THEN 1.0 ELSE 0.4 END * pow(0.5, coalesce((epoch_us((SELECT max(row_updated) FROM m)) - epoch_us(row_updated)) / 86400e6, 1e18 / 86400e6) / 1095.0) AS vote FROM m),
+f AS (
+  SELECT group_id, 'firstname' AS field, firstname AS value, vote FROM w UNION ALL SELECT group_id, 'date_born', date_born, vote FROM w
+  UNION ALL SELECT group_id, 'is_verified', CAST(is_verified AS VARCHAR), vote FROM w),
+n AS (
+  SELECT *, CASE WHEN field = 'is_verified' THEN lpad(value, 24, '0') ELSE coalesce(nullif(array_to_string(list_sort(list_filter(string_split(regexp_replace(replace(regexp_replace(translate(lower(value),
+    'àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿšž', 'aaaaaaaceeeeiiiinoooooouuuuyysz'), 'ae|aa', 'a', 'g'), 'oe', 'o'), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')), ' '), ''), value) END AS norm
+  FROM f WHERE value IS NOT NULL AND trim(value) <> ''),
+s AS (SELECT group_id, field, norm, value, sum(vote) AS v FROM n GROUP BY ALL),
+t AS (SELECT group_id, field, norm, round(sum(v), 9) AS votes, arg_max(value, (round(v, 9), value)) AS value FROM s GROUP BY ALL),
+b AS (SELECT group_id, field, arg_max(value, (votes, norm)) AS value FROM t GROUP BY ALL),
+i AS (SELECT group_id, arg_max(player_id, (CASE WHEN is_verified THEN 2 ELSE 0 END + CASE WHEN date_born IS NULL THEN 0 ELSE 1 END, coalesce(epoch_us(row_updated), -(1::BIGINT << 62)), player_id)) AS player_id, count(DISTINCT player_id) AS n_rows FROM m GROUP BY 1)
+SELECT i.group_id, i.player_id, i.n_rows, x.value AS firstname, y.value AS date_born, CAST(z.value AS BOOLEAN) AS is_verified
+FROM i LEFT JOIN b x ON x.group_id = i.group_id AND x.field = 'firstname' LEFT JOIN b y ON y.group_id = i.group_id AND y.field = 'date_born' LEFT JOIN b z ON z.group_id = i.group_id AND z.field = 'is_verified'
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_records, p4_found, p4_links, p7_found, p8_found, p8_candidates, p9_mix, p9_shares, p9_mix_short, p9_shares_short, p9_shares_of_all, p10_found, p10_residue_report)}
+    return {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_records, p3_records_of_given, p4_found, p4_links, p7_found, p8_found, p8_candidates, p9_mix, p9_shares, p9_mix_short, p9_shares_short, p9_shares_of_all, p10_found, p10_residue_report)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p3_records_of_given": _GIVEN}

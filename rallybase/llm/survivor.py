@@ -133,23 +133,24 @@ def surviving_records(members: DataFrame, id_col: str, fields: list[str], truste
     every row votes with the trust of its row times the decay of its age against the newest row; votes are summed by
     normalised value (text is folded), the spelling with most votes stands for it. The id is a field like the others, but an
     id's vote isn't summed and climbs a ladder: a trusted row above any other, one that has complete above one that lacks
-    it, then the decay of age. Ties go to the greater value. A field without values stays null; a null trusted is false; a
+    it, then the later one. Ties (votes are compared to nine digits) go to the greater value. A field without values stays null; a null trusted is false; a
     null updated is older than any other; repeated rows of one id count once for the id. No rows give no records."""
     newest = members.agg(F.max(updated)).first()[0]
     age = F.coalesce(F.unix_micros(F.lit(newest).cast("timestamp")) - F.unix_micros(F.col(updated).cast("timestamp")), F.lit(10**18)).cast("double") / 86400e6
     decay = F.pow(F.lit(0.5), age / half_life)
     sure = F.coalesce(F.col(trusted), F.lit(False))
-    ladder = sure.cast("double") * 4 + F.col(complete).isNotNull().cast("double") * 2 + decay
+    ladder = sure.cast("double") * 2 + F.col(complete).isNotNull().cast("double")
+    late = F.coalesce(F.unix_micros(F.col(updated).cast("timestamp")), F.lit(-(1 << 62)))
     vote = F.when(sure, TRUST[True]).otherwise(TRUST[False]) * decay
-    values = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), vote.alias("vote")) for f in fields]
-    values.append(F.struct(F.lit(id_col).alias("field"), F.col(id_col).cast("string").alias("value"), ladder.alias("vote")))
+    values = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), vote.alias("vote"), F.lit(0).cast("long").alias("late")) for f in fields]
+    values.append(F.struct(F.lit(id_col).alias("field"), F.col(id_col).cast("string").alias("value"), ladder.alias("vote"), late.alias("late")))
     long = members.select("group_id", F.explode(F.array(*values)).alias("x")).select("group_id", "x.*").filter("value is not null and trim(value) <> ''")
     texts = [f for f, t in members.dtypes if t == "string" and f in fields]
     norm = F.when(F.col("field").isin(texts), F.coalesce(F.nullif(X.token_key(F.col("value")), F.lit("")), F.col("value"))).otherwise(F.lpad("value", 24, "0"))
     is_id = F.col("field") == id_col
-    spelled = long.groupBy("group_id", "field", norm.alias("norm"), "value").agg(F.sum("vote").alias("s"), F.max("vote").alias("m")).withColumn("v", F.when(is_id, F.col("m")).otherwise(F.col("s")))
-    votes = spelled.groupBy("group_id", "field", "norm").agg(F.sum("v").alias("votes"), F.max_by("value", F.struct("v", "value")).alias("value"))
-    won = votes.groupBy("group_id", "field").agg(F.max_by("value", F.struct("votes", "norm")).alias("value"), F.count(F.lit(1)).alias("n"))
+    spelled = long.groupBy("group_id", "field", norm.alias("norm"), "value").agg(F.sum("vote").alias("s"), F.max(F.struct("vote", "late")).alias("m")).withColumn("v", F.when(is_id, F.col("m.vote")).otherwise(F.col("s"))).withColumn("late", F.col("m.late"))
+    votes = spelled.groupBy("group_id", "field", "norm").agg(F.round(F.sum("v"), 9).alias("votes"), F.max("late").alias("late"), F.max_by("value", F.struct(F.round("v", 9), "value")).alias("value"))
+    won = votes.groupBy("group_id", "field").agg(F.max_by("value", F.struct("votes", "late", "norm")).alias("value"), F.count(F.lit(1)).alias("n"))
     wide = won.groupBy("group_id").pivot("field", [id_col, *fields]).agg(F.first("value").alias("value"), F.first("n").alias("n"))
     cast = lambda f: F.col(f"{f}_value").cast(members.schema[f].dataType).alias(f)
     return wide.select("group_id", cast(id_col), F.col(f"{id_col}_n").alias("n_rows"), *[cast(f) for f in fields])
