@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import text as X
+
 
 def parse_date(c: Column) -> Column:
     """yyyy-MM-dd, yyyy.MM.dd or yyyyMMdd; anything else is null."""
@@ -108,15 +110,16 @@ def title_case(c: Column) -> Column:
 
 
 def normalize_key(c: Column, keep_marks: bool = False) -> Column:
-    """Lower case, hyphens and slashes as blanks, single blanks; accents go but for the Nordic letters, of which ö counts as ø."""
+    """Lower case, hyphens and slashes as blanks, single blanks; accents go but for the Nordic letters, of which ö counts as ø.
+    A Nordic letter written as a plain one with a mark after it loses the mark, as any other."""
     x = F.lower(F.trim(F.regexp_replace(F.regexp_replace(c, r"[-/]", " "), r"\s+", " ")))
     if keep_marks:
         return x
-    return F.translate(x, "öàáâãçèéêëìíîïñòóôõùúûüýÿšž", "øaaaaceeeeiiiinoooouuuuyysz")
+    return X.without_marks(F.translate(x, "ö", "ø"), keep="åäøæ")
 
 
 def ascii_key(c: Column) -> Column:
-    x = F.translate(F.lower(c), "àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿ", "aaaaaaaceeeeiiiinoooooouuuuyy")
+    x = F.translate(X.without_marks(F.lower(c)), "æø", "ao")
     return F.trim(F.regexp_replace(F.regexp_replace(x, r"[^a-z0-9\s]", " "), r"\s+", " "))
 
 
@@ -132,20 +135,24 @@ def opaque_id(salt: str, c: Column) -> Column:
     return F.sha2(F.concat(F.unhex(F.lit(outer.hex())), F.unhex(first)), 256)
 
 
-def class_type(name: Column) -> Column:
-    """1 singles, 2 doubles, 3 mixed, 4 team, 9 unknown, from a class's short or long name.
+#: Short names of doubles classes.
+_DOUBLES = ("HD", "DD", "WD", "MD", "MXD", "FD", "PD", "HJD")
+
+
+def class_type(short: Column, long: Column | None = None) -> Column:
+    """1 singles, 2 doubles, 4 team, 9 unknown, from a class's short and long name.
 
-    Rules in order: team words, mixed words, double words or a D after the leading letters, then the prefixes of singles."""
-    x = F.lower(F.trim(name))
-    return (
-        F.when(x.isNull() | (x == ""), 9)
-        .when(x.rlike(r"lag|team"), 4)
-        .when(x.rlike(r"^xb"), 9)
-        .when(x.rlike(r"mix"), F.when(x.rlike("dubb|doub|double"), 2).otherwise(3))
-        .when(x.rlike(r"dubb|double|^[hdpfxv]{1,2}d(\s|\d|$)"), 2)
-        .when(x.rlike(r"^(h|d|p|f|hj|dj|v|hv|dv|m|w)[a-zåäö]{0,8}[\s\d]*"), 1)
-        .otherwise(9)
-    )
+    Team words and team abbreviations come first, then doubles words and abbreviations (mixed doubles are doubles, also a
+    mixed class between other words unless its long name says singles), then names that begin like no class; all else,
+    also without a name, is singles."""
+    s, l = F.lower(F.coalesce(short, F.lit(""))), F.lower(F.coalesce(long if long is not None else F.lit(None).cast("string"), F.lit("")))  # noqa: E741
+    both = F.concat(l, F.lit(" "), s)
+    tokens = F.split(F.upper(s), "[^A-ZÅÄÖ]+")
+    has = lambda names: F.arrays_overlap(tokens, F.array(*map(F.lit, names)))
+    team = both.rlike("lag") | l.rlike("team") | s.rlike(r"\bteams?\b") | has(("HL", "DL", "TEAM")) | s.rlike(r"\b[hd]l\d+\b")
+    mixed = both.rlike(r"\w mixed \w") & ~l.rlike("singel|single|enkelt")
+    doubles = s.rlike("^(" + "|".join(_DOUBLES).lower() + ")") | both.rlike("dubbel|dubble|dobbel|double") | mixed | has(_DOUBLES)
+    return F.when(team, 4).when(doubles, 2).when(s.rlike("^x[bg]"), 9).otherwise(1)
 
 
 def class_structure(stages: Column) -> Column:
@@ -204,8 +211,9 @@ def name_aliases(name: Column) -> Column:
 
 
 def round_name(matches: Column) -> Column:
-    """Name of a knockout round by its number of matches."""
-    return F.when(matches == 1, "Final").when(matches == 2, "Semifinal").when(matches == 4, "Quarterfinal").otherwise(F.concat(F.lit("Round of "), (matches * 2).cast("string")))
+    """Name of a knockout round by its number of matches: Final, RO4/SF, RO8/QF, RO16 and so on; Round if it can't be told."""
+    size = (matches * 2).cast("string")
+    return F.when(matches == 1, "Final").when(matches == 2, "RO4/SF").when(matches == 4, "RO8/QF").when(matches > 4, F.concat(F.lit("RO"), size)).otherwise("Round")
 
 
 def league_level(section: Column) -> Column:

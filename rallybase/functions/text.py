@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters without their marks, one for one.
-_MARKED = "àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿšž"
-_PLAIN = "aaaaaaaceeeeiiiinoooooouuuuyysz"
+
+def bare(letter: str) -> str:
+    """A letter's compatibility form without its marks."""
+    return "".join(x for x in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(x))
+
+
+_RANGES = ((0xAA, 0x250), (0x370, 0x530), (0x1E00, 0x2000), (0xFF01, 0xFF5F))  # Latin, Greek, Cyrillic, wide letters
+#: What Unicode says of each small letter with marks: made by rule.
+BARE = {c: bare(c) for a, b in _RANGES for c in map(chr, range(a, b)) if c == c.lower() and bare(c) not in ("", c)}
+
+
+def without_marks(c: Column, keep: str = "") -> Column:
+    """Small letters without their marks, whether a mark is part of the letter or follows it; letters in keep stay."""
+    one = {k: v for k, v in BARE.items() if len(v) == 1 and k not in keep}
+    x = F.translate(c, "".join(one), "".join(one.values()))
+    for k, v in BARE.items():
+        if len(v) > 1 and v.isalpha() and k not in keep:
+            x = F.replace(x, F.lit(k), F.lit(v))
+    return F.regexp_replace(x, r"\p{M}+", "")
 
 
 def fold(c: Column) -> Column:
     """Lower case, marks removed, the digraphs ae, oe and aa as one letter, everything but letters and digits as one space."""
-    x = F.translate(F.lower(c), _MARKED, _PLAIN)
+    x = F.translate(without_marks(F.lower(c)), "æø", "ao")
     x = F.regexp_replace(x, "ae|aa", "a")
     x = F.regexp_replace(x, "oe", "o")
     return F.trim(F.regexp_replace(x, "[^a-z0-9]+", " "))

@@ -28,8 +28,8 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[Column]) -> tuple[D
     whole = F.lit(True)
     for k in keys:
         whole = whole & F.col(k).isNotNull()
-    numbered = df.withColumn("_rn", F.when(whole, F.row_number().over(w)).otherwise(1))
-    return numbered.filter("_rn = 1").drop("_rn"), numbered.filter("_rn > 1").drop("_rn")
+    numbered = df.filter(whole).withColumn("_rn", F.row_number().over(w))  # rows without a key never meet in a task
+    return numbered.filter("_rn = 1").drop("_rn").unionByName(df.filter(~whole)), numbered.filter("_rn > 1").drop("_rn")
 
 
 def ordered_list(value: Column, order: list[Column], sep: str = ",", distinct: bool = False) -> Column:
@@ -52,8 +52,9 @@ def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str,
             cond = cond & (points[k] == intervals[k])
         return points.join(intervals, cond, how)
     by_year = intervals.withColumn("_year", F.explode(F.sequence(F.year(start), F.year(end))))
-    joined = points.withColumn("_year", F.year(at)).join(by_year, "_year" if how == "inner" else ["_year"], how)
-    return joined.filter(F.col(at).between(F.col(start), F.col(end))).drop("_year")
+    p = points.withColumn("_point_year", F.year(at))
+    inside = (F.col("_point_year") == F.col("_year")) & F.col(at).between(F.col(start), F.col(end))
+    return p.join(by_year, inside, how).drop("_year", "_point_year")
 
 
 def overlaps(a: DataFrame, b: DataFrame, keys: list[str], a_from: str, a_to: str, b_from: str, b_to: str) -> DataFrame:
@@ -110,9 +111,9 @@ def pair_slots(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def upper_median(value: str) -> Column:
-    """The element in the middle, the upper one for an even number; for groups of bounded size."""
-    items = F.array_sort(F.collect_list(value))
-    return F.when(F.size(items) > 0, F.element_at(items, F.floor(F.size(items) / 2).cast("int") + 1))
+    """The element in the middle, the upper one for an even number, in groups of less than a thousand million rows; what is
+    held for a group are its distinct values with their counts."""
+    return F.expr(f"percentile_disc(0.5000000001) within group (order by {value})")
 
 
 def share_of_total(df: DataFrame, count: str, name: str = "pct", digits: int = 1) -> DataFrame:

@@ -105,9 +105,9 @@ def resolve_sides(sides: DataFrame, entries: DataFrame, least: int = 4) -> DataF
     """side_id, entry_id, score, how: the entry of its class that each side of a match means.
 
     sides: side_id, class_id, number, name, club, grp. entries: class_id, entry_id, number, name, club, grp. A number that
-    one entry has decides. Else points: 8 for the same name in any turn, 6 for the same set of parts, up to 4 for shared parts, 3
-    if the initials of one fit the other, 2 for the group, 1 for the club, 1 for a shared single part, 1 for a text inside the
-    other; at least least, the best by points, group, club, length and the lowest entry."""
+    one entry has decides. Else points: 8 for the same name or its parts in reverse, 6 for the same parts in any order, up to 4 for
+    shared parts, 3 for an initial that fits the other's part at its place (for either side), 2 for the group, 1 for the club, 1
+    if a name of one part stands in the other, 1 if any part holds one of the other's; at least least, the best by points, group, club, length and the lowest entry."""
     clean = lambda c: S.normalize_key(F.col(c))
     s = sides.select("side_id", "class_id", F.col("number").alias("s_number"), clean("name").alias("s_name"), clean("club").alias("s_club"), F.col("grp").alias("s_grp"))
     c = entries.select("class_id", "entry_id", F.col("number").alias("e_number"), clean("name").alias("e_name"), clean("club").alias("e_club"), F.col("grp").alias("e_grp"))
@@ -116,13 +116,13 @@ def resolve_sides(sides: DataFrame, entries: DataFrame, least: int = 4) -> DataF
     both = rest.join(c, "class_id").filter("s_name is not null and e_name is not null")
     sp, ep = F.split("s_name", " "), F.split("e_name", " ")
     shared = F.size(F.array_intersect(sp, ep))
-    turned = F.array_contains(R.name_keys(F.col("e_name")), F.col("s_name"))
-    initials = lambda parts: F.array_sort(F.transform(parts, lambda p: F.substring(p, 1, 1)))
+    turned = (F.col("e_name") == F.col("s_name")) | (F.col("e_name") == F.array_join(F.reverse(sp), " "))
     bit = lambda cond, n: F.when(F.coalesce(cond, F.lit(False)), n).otherwise(0)
-    short = lambda parts: F.exists(parts, lambda p: F.length(p) == 1)
-    fits = (initials(sp) == initials(ep)) & (shared >= 1)
+    fits = lambda a, b: F.exists(F.zip_with(a, b, lambda x, y: (F.length(x) == 1) & F.startswith(y, x)), lambda x: F.coalesce(x, F.lit(False)))
+    lone = (F.size(sp) == 1) & F.array_contains(ep, F.element_at(sp, 1)) | (F.size(ep) == 1) & F.array_contains(sp, F.element_at(ep, 1))
+    holds = F.exists(sp, lambda x: F.exists(ep, lambda y: F.contains(y, x) | F.contains(x, y)))
     group, club = bit(F.col("s_grp") == F.col("e_grp"), 2), bit(F.col("s_club") == F.col("e_club"), 1)
-    score = bit(turned, 8) + bit(F.array_sort(sp) == F.array_sort(ep), 6) + F.least(shared, F.lit(4)) + bit(fits & short(sp), 3) + bit(fits & short(ep), 3) + group + club + bit((F.size(sp) == 1) & (shared >= 1), 1) + bit(F.contains("e_name", F.col("s_name")) | F.contains("s_name", F.col("e_name")), 1)
+    score = bit(turned, 8) + bit(F.array_sort(sp) == F.array_sort(ep), 6) + F.least(shared, F.lit(4)) + bit(fits(sp, ep), 3) + bit(fits(ep, sp), 3) + group + club + bit(lone, 1) + bit(holds, 1)
     scored = both.withColumn("score", score).withColumn("_g", group).withColumn("_c", club).filter((F.col("score") - F.col("_g") - F.col("_c") > 0) & (F.col("score") >= least))
     best = scored.groupBy("side_id").agg(F.max_by(F.struct("entry_id", "score"), F.struct("score", "_g", "_c", -F.abs(F.length("s_name") - F.length("e_name")), -F.length("e_name"), -F.col("entry_id"))).alias("b"))
     named = best.select("side_id", F.col("b.entry_id").alias("entry_id"), F.lit("name").alias("how"), F.col("b.score").alias("score"))
@@ -242,9 +242,7 @@ def resolve_tournaments(raw: DataFrame, today: Column) -> DataFrame:
 def resolve_classes(raw: DataFrame) -> DataFrame:
     """raw with type_id, structure_id and parent_class_id: the class of the same tournament whose short name is this one's
     without a final ~B or B. raw: class_id, tournament_id, shortname, longname, raw_stages."""
-    r = raw.withColumn("type_id", F.least(S.class_type(F.col("shortname")), F.lit(9))).withColumn("structure_id", S.class_structure(F.col("raw_stages")))
-    long = S.class_type(F.col("longname"))
-    r = r.withColumn("type_id", F.when(F.col("type_id") == 9, long).otherwise(F.col("type_id")))
+    r = raw.withColumn("type_id", S.class_type(F.col("shortname"), F.col("longname"))).withColumn("structure_id", S.class_structure(F.col("raw_stages")))
     base = F.nullif(F.regexp_extract("shortname", r"^(.*\S)\s*(?:~|\s)B$", 1), F.lit(""))
     up = raw.groupBy("tournament_id", F.col("shortname").alias("_base")).agg(F.min("class_id").alias("parent_class_id"))
     return r.withColumn("_base", base).join(up, ["tournament_id", "_base"], "left").drop("_base")

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from .relational import latest_per_group
 
 
-def content_hash(columns: list[Column]) -> Column:
-    """SHA-256 of the values joined by a bar; null is empty, dates are ISO, booleans 0 and 1."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]), 256)
+def content_hash(df: DataFrame, columns: list[str]) -> Column:
+    """SHA-256 of a row's values joined by a bar: texts by their normal key, so that case, spacing and accents are no change,
+    dates in ISO form, booleans as 0 and 1, null as nothing."""
+    kinds = dict(df.dtypes)
+
+    def part(c: str) -> Column:
+        value = S.normalize_key(F.col(c)) if kinds[c] == "string" else F.col(c).cast("int") if kinds[c] == "boolean" else F.col(c)
+        return F.coalesce(value.cast("string"), F.lit(""))
+
+    return F.sha2(F.concat_ws("|", *map(part, columns)), 256)
 
 
 def changed(a: Column, b: Column) -> Column:
@@ -47,7 +55,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], compare: list[
 
 def two_key_match(source: DataFrame, target: DataFrame, first: list[str], second: list[str], target_id: str) -> DataFrame:
     """source with the target's id found by the first key, else by the second (matched_by: 1, 2 or null)."""
-    by_first = target.select(*first, F.col(target_id).alias("_id1")).dropDuplicates(first)
+    by_first = target.groupBy(*first).agg(F.min(target_id).alias("_id1"))
     by_second = target.groupBy(*second).agg(F.min(target_id).alias("_id2"))
     out = source.join(by_first, first, "left").join(by_second, second, "left")
     return out.withColumn(target_id, F.coalesce("_id1", "_id2")).withColumn("matched_by", F.when(F.col("_id1").isNotNull(), 1).when(F.col("_id2").isNotNull(), 2)).drop("_id1", "_id2")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import analytics, conversions, records, resolution
+from . import analytics, conversions, records, resolution, warehouse
 
 FLAGSHIP = "q_profile_latest"
-_MODULES = (analytics, conversions, resolution, records)
+_MODULES = (analytics, conversions, resolution, warehouse, records)
 
 
 def queries() -> dict:

@@ -47,9 +47,55 @@ def q_hmac_id(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "customer").select("c_custkey", S.opaque_id(DEMO_SALT, F.col("c_custkey")).alias("public_id"))
 
 
-@query("""SELECT row_id, sha256(concat_ws('|', coalesce(firstname, ''), coalesce(lastname, ''), coalesce(CAST(date_born AS VARCHAR), ''), coalesce(club_from, ''), coalesce(CAST(data_source_id AS VARCHAR), ''))) AS hash FROM player_transition_raw""")
+def _key(c: str) -> str:
+    """The normal key in SQL: the Nordic letters are put aside while marks are stripped."""
+    plain = f"lower(trim(regexp_replace(regexp_replace({c}, '[-/]', ' ', 'g'), '\\s+', ' ', 'g')))"
+    return f"translate(strip_accents(translate(replace({plain}, 'ö', 'ø'), 'åäøæ', '<>^=')), '<>^=', 'åäøæ')"
+
+
+@query(f"""SELECT row_id, sha256(concat_ws('|', coalesce({_key("firstname")}, ''), coalesce({_key("lastname")}, ''), coalesce(CAST(date_born AS VARCHAR), ''), coalesce({_key("club_from")}, ''), coalesce(CAST(data_source_id AS VARCHAR), ''))) AS hash FROM player_transition_raw""")
 def q_content_hash(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "player_transition_raw").select("row_id", G.content_hash([F.col(c) for c in ("firstname", "lastname", "date_born", "club_from", "data_source_id")]).alias("hash"))
+    """Hash of a row's values, texts by their normal key."""
+    t = table(s, d, "player_transition_raw")
+    return t.select("row_id", G.content_hash(t, ["firstname", "lastname", "date_born", "club_from", "data_source_id"]).alias("hash"))
+
+
+#: Written by hand: letters as one sign and with the mark after it, separators, Nordic letters, apostrophes.
+AWKWARD = ["  Virum-Sorgenfri   BTK ", "Hilleröd GI", "Hillerød GI", "Café", "Cafe\u0301", "Dvořák", "Dvor\u030ca\u0301k", "Åsa Ek", "A\u030asa Ek", "O'Neil", "anna-karin o'neil", "ÇELİK", "Škoda/Žižkov", "Ngũgĩ", "", " - "]
+
+
+@query(f"""WITH n AS (SELECT shortname AS name FROM club UNION SELECT longname FROM club UNION SELECT club_from FROM player_transition_raw UNION SELECT firstname FROM player UNION SELECT * FROM (VALUES {', '.join("('" + a.replace("'", "''") + "')" for a in AWKWARD)}) v(name))
+SELECT name, {_key("name")} AS key, trim(regexp_replace(regexp_replace(strip_accents(replace(replace(lower(name), 'ø', 'o'), 'æ', 'a')), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS ascii FROM n WHERE name IS NOT NULL""")
+def q_text_keys(s: SparkSession, d: str) -> DataFrame:
+    """Normal and plain keys of clubs, first names and names written by hand, however their marks are written."""
+    t = lambda n, c: table(s, d, n).select(F.col(c).alias("name"))
+    names = t("club", "shortname").union(t("club", "longname")).union(t("player_transition_raw", "club_from")).union(t("player", "firstname")).union(s.createDataFrame([(a,) for a in AWKWARD], "name string")).filter("name is not null").distinct()
+    return names.select("name", S.normalize_key(F.col("name")).alias("key"), S.ascii_key(F.col("name")).alias("ascii"))
+
+
+#: Class names written by hand with the type they have: short name, long name, type.
+CLASS_NAMES = [
+    ("HD1", None, 2), ("Herrlag", None, 4), ("Mixeddubbel", None, 2), ("XB2", None, 9), ("P12", "Pojkar 12", 1), ("HJD18", "Herrjuniordubbel", 2), ("MD21", None, 2), ("WD", None, 2), ("MXD A", None, 2), ("HL1", None, 4), ("DL2", None, 4), ("S21", None, 1), ("Klass 3", None, 1), ("Elit", None, 1),
+    ("DS", "Damer singel", 1), ("Mixed", None, 1), ("A", "öppen mixed klass", 2), ("A", "singel mixed klass", 1), ("PD14", "Pojkdubbel", 2), ("F D 12", "Flickor", 1), ("U11 FD", None, 2), ("Teams", None, 4), ("X", "Team event", 4), ("xg 1", None, 9), ("", "", 1), (None, None, 1), ("Hv40", "Herrar veteran 40", 1), ("DLAG", None, 4), ("H3", "Familjedubbel", 2),
+]
+
+
+def _text(v: str | None) -> str:
+    return "CAST(NULL AS VARCHAR)" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({_text(a)}, {_text(b)}, {n})" for a, b, n in CLASS_NAMES) + ") v(shortname, longname, type)")
+def q_class_types(s: SparkSession, d: str) -> DataFrame:
+    """The type of classes by name, against types told by hand."""
+    names = s.createDataFrame([(a, b) for a, b, _ in CLASS_NAMES], "shortname string, longname string")
+    return names.select("shortname", "longname", S.class_type(F.col("shortname"), F.col("longname")).alias("type"))
+
+
+@query("""WITH m AS (SELECT tournament_class_id_ext AS class_id, count(*) AS n FROM tournament_class_match_raw GROUP BY 1) SELECT class_id, CASE WHEN n = 1 THEN 'Final' WHEN n = 2 THEN 'RO4/SF' WHEN n = 4 THEN 'RO8/QF' WHEN n > 4 THEN 'RO' || (2 * n) ELSE 'Round' END AS round_name, CASE n WHEN 1 THEN 8 WHEN 2 THEN 7 WHEN 4 THEN 6 WHEN 8 THEN 5 WHEN 16 THEN 4 WHEN 32 THEN 3 WHEN 64 THEN 2 END AS stage_id FROM m""")
+def q_round_names(s: SparkSession, d: str) -> DataFrame:
+    """Names and stages of rounds of as many matches as each class has."""
+    n = table(s, d, "tournament_class_match_raw").groupBy(F.col("tournament_class_id_ext").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
+    return n.select("class_id", S.round_name(F.col("n")).alias("round_name"), S.stage_of_matches(F.col("n")).alias("stage_id"))
 
 
 @query("""SELECT row_id, CASE WHEN season_label IS NULL THEN NULL ELSE CASE WHEN length(y) = 4 THEN CAST(y AS INTEGER) WHEN length(y) = 2 THEN 2000 + CAST(y AS INTEGER) END END AS season, CASE WHEN p = '' THEN NULL ELSE p END AS person,
@@ -121,10 +167,10 @@ def q_text_normalize(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "club").select("club_id", S.ascii_key(F.col("shortname")).alias("ascii"), S.normalize_key(F.col("shortname")).alias("nordic"))
 
 
-@query("""SELECT player_id, upper(left(lower(firstname), 1)) || substr(lower(firstname), 2) AS titled FROM player WHERE firstname IS NOT NULL AND NOT regexp_matches(firstname, '[^A-Za-zåäöÅÄÖé]')""")
+@query("""SELECT player_id, array_to_string(list_transform(string_split(trim(regexp_replace(lower(firstname), '\\s+', ' ', 'g')), ' '), lambda w: array_to_string(list_transform(string_split(w, '-'), lambda x: array_to_string(list_transform(string_split(x, chr(39)), lambda y: upper(left(y, 1)) || substr(y, 2)), chr(39))), '-')), ' ') AS titled FROM player WHERE firstname IS NOT NULL""")
 def q_title_case(s: SparkSession, d: str) -> DataFrame:
-    p = table(s, d, "player").filter(~F.col("firstname").rlike("[^A-Za-zåäöÅÄÖé]"))
-    return p.select("player_id", S.title_case(F.col("firstname")).alias("titled"))
+    """First names with capitals after blanks, hyphens and apostrophes."""
+    return table(s, d, "player").filter("firstname is not null").select("player_id", S.title_case(F.col("firstname")).alias("titled"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_type LIKE '%BRASS%' THEN 4 WHEN regexp_matches(p_type, '^(PROMO|STANDARD)') THEN 1 ELSE 9 END AS kind, CAST(regexp_extract(p_brand, '[0-9]+') AS INTEGER) AS brand_no FROM part""")
@@ -158,41 +204,45 @@ def q_accounting(s: SparkSession, d: str) -> DataFrame:
     return out.withColumn("adds_up", F.col("processed") == F.col("ok") + F.col("failed"))
 
 
-def _halves(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _versions(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """All orders, and all of them again as a later version: numbers moved by 96, other states for every fourth."""
     o = table(s, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.round("o_totalprice", 2).alias("price"))
-    target = o.filter("o_orderkey % 3 <> 0")
-    source = o.filter("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 4 == 0, "X").otherwise(F.col("o_orderstatus")))
-    return target, source
+    later = o.withColumn("o_orderkey", F.col("o_orderkey") + 96).withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 4 == 0, "X").otherwise(F.col("o_orderstatus")))
+    return o, later
+
+
+_LATER = "t AS (SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) AS price FROM orders), s AS (SELECT o_orderkey + 96 AS o_orderkey, o_custkey, CASE WHEN (o_orderkey + 96) % 4 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, round(o_totalprice, 2) AS price FROM orders)"
 
 
-@query("""WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0), s AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 2 = 0)
-SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, CASE WHEN s.o_orderkey IS NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus,
-CASE WHEN t.o_orderkey IS NULL THEN 'inserted' WHEN s.o_orderkey IS NULL THEN 'kept' WHEN t.o_orderstatus IS DISTINCT FROM s.o_orderstatus THEN 'updated' ELSE 'unchanged' END AS outcome FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey""")
+@query(f"""WITH {_LATER} SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, CASE WHEN s.o_orderkey IS NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus,
+CASE WHEN t.o_orderkey IS NULL THEN 'inserted' WHEN s.o_orderkey IS NULL THEN 'kept' WHEN t.o_orderstatus IS DISTINCT FROM s.o_orderstatus OR t.o_custkey IS DISTINCT FROM s.o_custkey OR t.price IS DISTINCT FROM s.price THEN 'updated' ELSE 'unchanged' END AS outcome FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey""")
 def q_upsert_outcome(s: SparkSession, d: str) -> DataFrame:
     """Upsert by key with the outcome of every row; outcomes come from the join."""
-    t, src = _halves(s, d)
+    t, src = _versions(s, d)
     return G.upsert(t, src, ["o_orderkey"], ["o_orderstatus", "o_custkey", "price"]).select("o_orderkey", "o_orderstatus", "outcome")
 
 
-@query("""WITH t AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0), k AS (SELECT o_custkey, o_orderdate, min(o_orderkey) AS id2 FROM t GROUP BY 1, 2)
-SELECT o.o_orderkey AS source_key, coalesce(t.o_orderkey, k.id2) AS target_key, CASE WHEN t.o_orderkey IS NOT NULL THEN 1 WHEN k.id2 IS NOT NULL THEN 2 END AS matched_by FROM orders o LEFT JOIN t ON t.o_orderkey = o.o_orderkey LEFT JOIN k ON k.o_custkey = o.o_custkey AND k.o_orderdate = o.o_orderdate""")
+@query("""WITH t AS (SELECT o_orderkey + 96 AS k, o_orderkey AS id, o_custkey, o_orderpriority FROM orders), a AS (SELECT k, min(id) AS id1 FROM t GROUP BY 1), b AS (SELECT o_custkey, o_orderpriority, min(id) AS id2 FROM t GROUP BY 1, 2)
+SELECT o.o_orderkey AS source_key, coalesce(a.id1, b.id2) AS target_key, CASE WHEN a.id1 IS NOT NULL THEN 1 WHEN b.id2 IS NOT NULL THEN 2 END AS matched_by FROM orders o LEFT JOIN a ON a.k = o.o_orderkey LEFT JOIN b ON b.o_custkey = o.o_custkey AND b.o_orderpriority = o.o_orderpriority""")
 def q_two_key_upsert(s: SparkSession, d: str) -> DataFrame:
-    o = table(s, d, "orders").select(F.col("o_orderkey").alias("source_key"), "o_custkey", "o_orderdate")
-    t = table(s, d, "orders").filter("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("source_key"), F.col("o_orderkey").alias("target_key"), "o_custkey", "o_orderdate")
-    return G.two_key_match(o, t, ["source_key"], ["o_custkey", "o_orderdate"], "target_key").select("source_key", "target_key", "matched_by")
+    """Every order with the one of the earlier version that has its number, else its customer and priority."""
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("source_key"), "o_custkey", "o_orderpriority")
+    t = table(s, d, "orders").select((F.col("o_orderkey") + 96).alias("source_key"), F.col("o_orderkey").alias("target_key"), "o_custkey", "o_orderpriority")
+    return G.two_key_match(o, t, ["source_key"], ["o_custkey", "o_orderpriority"], "target_key").select("source_key", "target_key", "matched_by")
 
 
-@query("""SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'X' ELSE o_orderstatus END FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 = 0""")
+@query(f"""WITH {_LATER} SELECT o_orderkey, o_orderstatus FROM t UNION ALL SELECT o_orderkey, o_orderstatus FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)""")
 def q_insert_ignore(s: SparkSession, d: str) -> DataFrame:
-    t, src = _halves(s, d)
+    """The earlier version and what only the later one has."""
+    t, src = _versions(s, d)
     return G.insert_ignore(t, src, ["o_orderkey"], [F.asc("o_custkey")]).select("o_orderkey", "o_orderstatus")
 
 
-@query("""WITH s AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 2 = 0)
-SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0 AND o_custkey NOT IN (SELECT o_custkey FROM s) UNION ALL SELECT * FROM s""")
+@query(f"""WITH {_LATER} SELECT o_orderkey, o_custkey, o_orderstatus FROM t WHERE o_orderstatus NOT IN (SELECT o_orderstatus FROM s WHERE o_orderstatus = 'X') AND o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM s""")
 def q_delete_replace(s: SparkSession, d: str) -> DataFrame:
-    t, src = _halves(s, d)
-    return G.delete_and_replace(t, src, ["o_custkey"]).select("o_custkey", "o_orderkey", "o_orderstatus")
+    """Orders the later version has again are replaced, the others stay."""
+    t, src = _versions(s, d)
+    return G.delete_and_replace(t, src, ["o_orderkey"]).select("o_custkey", "o_orderkey", "o_orderstatus")
 
 
 @query("""WITH g AS (SELECT content_hash, min(row_id) AS survivor FROM player_license_raw GROUP BY 1) SELECT row_id AS loser, survivor FROM player_license_raw JOIN g USING (content_hash) WHERE row_id <> survivor""")

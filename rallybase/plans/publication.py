@@ -53,17 +53,31 @@ def match_rows(sides: DataFrame, matches: DataFrame, games: DataFrame, salt: str
     return out.select(S.opaque_id(salt, F.col("player_id")).alias("public_id"), "match_id", "side_no", "opponents", result.alias("result"), F.when(F.col("walkover_side").isNotNull(), "WO").otherwise(F.col("score")).alias("score"))
 
 
-def results_summary(sides: DataFrame, matches: DataFrame, games: DataFrame) -> DataFrame:
-    """player_id, matches, won, sets, sets_won, deuce_sets, points, avg_points, pct_won; matches decided by walkover don't
-    count. A set goes to deuce if either side has more than 11."""
-    m = matches.filter("walkover_side is null").join(winner_from_games(games).withColumnRenamed("winner_side", "_w"), "match_id", "left").select("match_id", F.coalesce("winner_side", "_w").alias("win"))
+def results_summary(players: DataFrame, sides: DataFrame, matches: DataFrame, games: DataFrame) -> DataFrame:
+    """player_id with matches, sets, deuce sets and points won and lost, their shares, averages and extremes, for every player.
+
+    Only completed matches without walkover count. A set goes to deuce if either side has more than 11. Who has played none has
+    nulls. sides: match_id, side_no, player_id; matches: match_id, status, winner_side, walkover_side; games: match_id, game_no,
+    points_side1, points_side2."""
+    m = matches.filter("status = 'completed' and walkover_side is null").select("match_id", "winner_side")
     per = sides.select("match_id", "side_no", "player_id").join(m, "match_id")
-    own, other = F.when(F.col("side_no") == 1, F.col("points1")).otherwise(F.col("points2")), F.when(F.col("side_no") == 1, F.col("points2")).otherwise(F.col("points1"))
-    g = per.join(games, "match_id").withColumn("own", own).withColumn("other", other)
-    deuce = F.col("own").isNotNull() & F.col("other").isNotNull() & (F.greatest("own", "other") > 11)
-    sets = g.groupBy("player_id").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("own") > F.col("other")).alias("sets_won"), F.count_if(deuce).alias("deuce_sets"), F.sum("own").alias("points"), F.round(F.avg("own"), 2).alias("avg_points"))
-    total = per.groupBy("player_id").agg(F.countDistinct("match_id").alias("matches"), F.countDistinct(F.when(F.col("win") == F.col("side_no"), F.col("match_id"))).alias("won"))
-    return total.join(sets, "player_id", "left").withColumn("pct_won", F.round(F.lit(100.0).cast("double") * F.col("won") / F.nullif(F.col("matches"), F.lit(0)), 1))
+    total = per.groupBy("player_id").agg(F.countDistinct("match_id").alias("total_matches"), F.count_if(F.col("winner_side") == F.col("side_no")).alias("match_wins"))
+    first = F.col("side_no") == 1
+    own, other = F.when(first, F.col("points_side1")).otherwise(F.col("points_side2")), F.when(first, F.col("points_side2")).otherwise(F.col("points_side1"))
+    g = per.join(games, "match_id").select("player_id", own.alias("o"), other.alias("l"))
+    won, deuce = F.col("o") > F.col("l"), F.greatest("o", "l") > 11
+    sets = g.groupBy("player_id").agg(
+        F.count(F.lit(1)).alias("total_sets"), F.count_if(won).alias("sets_won"), F.count_if(deuce).alias("total_deuce_sets"), F.count_if(deuce & won).alias("deuce_sets_won"), F.sum("o").alias("total_points_scored"), F.sum("l").alias("total_points_lost"),
+        F.round(F.avg("o"), 2).alias("avg_points_scored_per_set"), F.round(F.avg("l"), 2).alias("avg_points_lost_per_set"), *[f(c).alias(f"{n}_points_{w}_in_set") for c, w in (("o", "scored"), ("l", "lost")) for f, n in ((F.max, "max"), (F.min, "min"))],
+    )
+    share = lambda part, whole: F.round(F.lit(100.0).cast("double") * part / F.nullif(whole, F.lit(0)), 2)
+    out = players.select("player_id").join(total, "player_id", "left").join(sets, "player_id", "left")
+    return out.withColumns(
+        {
+            "match_losses": F.col("total_matches") - F.col("match_wins"), "sets_lost": F.col("total_sets") - F.col("sets_won"), "deuce_sets_lost": F.col("total_deuce_sets") - F.col("deuce_sets_won"), "match_win_percentage": share(F.col("match_wins"), F.col("total_matches")),
+            "set_win_percentage": share(F.col("sets_won"), F.col("total_sets")), "deuce_win_percentage": share(F.col("deuce_sets_won"), F.col("total_deuce_sets")), "points_win_percentage": share(F.col("total_points_scored"), F.col("total_points_scored") + F.col("total_points_lost")),
+        }
+    )
 
 
 def term_index(df: DataFrame, key: str, text: Column) -> DataFrame:
@@ -101,9 +115,13 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], unique: dict[str,
             made = spark.read.parquet(f"{tmp}/{name}")
             if not made.filter(F.col(key).isNull()).isEmpty() or not made.groupBy(key).count().filter("count > 1").isEmpty():
                 raise ValueError(f"{name}.{key} is null or repeated")
-        if fs.exists(path(target)):
-            fs.rename(path(target), path(old))
-        fs.rename(path(tmp), path(target))
+        there = fs.exists(path(target))
+        if there and not fs.rename(path(target), path(old)):
+            raise OSError(f"{target} can't be moved aside")
+        if not fs.rename(path(tmp), path(target)):
+            if there:
+                fs.rename(path(old), path(target))
+            raise OSError(f"{tmp} can't be moved to {target}")
         fs.delete(path(old), True)
     finally:
         fs.delete(path(tmp), True)

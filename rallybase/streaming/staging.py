@@ -28,7 +28,7 @@ def read_version(spark: SparkSession, path: str, batch: int) -> DataFrame | None
 
 def upsert_batch(target: DataFrame | None, rows: DataFrame, keys: list[str], values: list[str], order: list[Column]) -> DataFrame:
     """The table after a batch, with last_seen batch outcomes: of rows with one key the last in order counts."""
-    hashed = rows.withColumn("content_hash", G.content_hash([F.col(c) for c in values]))
+    hashed = rows.withColumn("content_hash", G.content_hash(rows, values))
     last = R.latest_per_group(hashed, keys, order).select(*keys, *values, "content_hash")
     if target is None:
         return last.withColumn("outcome", F.lit("inserted"))

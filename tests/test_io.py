@@ -78,8 +78,9 @@ def test_publication(spark, tmp_path):
     games = spark.createDataFrame([(1, 1, 11, 7), (1, 2, 12, 10)], "match_id long, game_no int, points1 int, points2 int")
     rows = {(r["match_id"], r["side_no"]): (r["opponents"], r["result"], r["score"]) for r in P.match_rows(sides, matches, games, "salt").collect()}
     assert rows == {(1, 1): ("Bo Alm", "W", "1: 11-7, 2: 12-10"), (1, 2): ("Ann Ek", "L", "1: 7-11, 2: 10-12"), (2, 1): ("Bo Alm", "L", "WO"), (2, 2): ("Ann Ek", "W", "WO")}
-    s = {r["player_id"]: r for r in P.results_summary(sides, matches, games).collect()}
-    assert (s[1]["matches"], s[1]["won"], s[1]["sets_won"], s[1]["deuce_sets"], s[2]["points"], s[2]["pct_won"]) == (1, 1, 2, 1, 17, 0.0)
+    ended = matches.withColumn("status", F.lit("completed")).withColumn("winner_side", F.coalesce("winner_side", F.lit(1)))
+    s = {r["player_id"]: r for r in P.results_summary(players, sides, ended, games.toDF("match_id", "game_no", "points_side1", "points_side2")).collect()}
+    assert (s[1]["total_matches"], s[1]["match_wins"], s[1]["sets_won"], s[1]["total_deuce_sets"], s[2]["total_points_scored"], s[2]["match_win_percentage"], s[1]["max_points_scored_in_set"]) == (1, 1, 2, 1, 17, 0.0, 12)
     index = P.term_index(prof, "player_id", F.col("name"))
     assert [r[0] for r in P.search(index, "player_id", "ek an").collect()] == [1]
     assert P.search(index, "player_id", " ").count() == 0

@@ -42,7 +42,7 @@ def test_sides(spark):
     entries = spark.createDataFrame([("c", 1, 5, "asa ek", "Alby", "P1"), ("c", 2, 6, "q w", None, None), ("p", 9, 1, "Bo Alm", None, None)], "class_id string, entry_id long, number int, name string, club string, grp string")
     sides = spark.createDataFrame([(1, "c", 6, "whoever", None, None), (2, "c", None, "ek asa", None, None), (3, "c", None, "x y", None, None), (4, "c", None, "ek asa", "alby", "P1"), (5, "k", None, "Alm Bo", None, None), (6, "c", None, None, None, None)], "side_id long, class_id string, number int, name string, club string, grp string")
     got = by(E.resolve_sides(sides, entries), "side_id", "entry_id", "score", "how")
-    assert got == {1: (2, None, "number"), 2: (1, 16, "name"), 3: (None, None, "none"), 4: (1, 19, "name"), 5: (None, None, "none"), 6: (None, None, "none")}
+    assert got == {1: (2, None, "number"), 2: (1, 17, "name"), 3: (None, None, "none"), 4: (1, 20, "name"), 5: (None, None, "none"), 6: (None, None, "none")}
     parent = spark.createDataFrame([("k", "p")], "class_id string, parent_class_id string")
     sib = E.sibling_sides(sides.filter("side_id = 5"), entries, parent).first()
     assert sib["parent_entry_id"] == 9 and sib["entry_id"] < 0

@@ -69,7 +69,7 @@ def test_names(spark):
 
 
 def test_classifiers(spark):
-    assert each(spark, S.class_type, ["HD1", "Herrlag", "Mixeddubbel", "XB2", "P12", "", None]) == [2, 4, 2, 9, 1, 9, 9]
+    assert each(spark, S.class_type, ["HD1", "Herrlag", "Mixeddubbel", "XB2", "P12", "", None]) == [2, 4, 2, 9, 1, 1, 1]
     assert each(spark, S.class_structure, ["1,2,3,5", "1,3,4", "1,5,6", "1", None]) == [1, 2, 3, 9, 9]
     assert each(spark, S.stage_of_matches, [8, 3, 1, 64], "int") == [5, None, 8, 2]
     assert each(spark, S.licence_parts, ["A-licens Senior (2024.09.01)", "D-licens ()", "x"]) == [("A-licens", "Senior", date(2024, 9, 1)), ("D-licens", None, None), None]
@@ -92,6 +92,6 @@ def test_likeness(spark):
 
 def test_drawing_words(spark):
     assert each(spark, S.name_aliases, ["Anna-Karin  Berg Ek", "Ek", " ", None]) == [["anna-karin berg ek", "anna-karin ek", "a ek", "a. ek", "ek", "anna berg ek", "anna ek"], ["ek"], [], []]
-    assert each(spark, S.round_name, [1, 2, 4, 8], "int") == ["Final", "Semifinal", "Quarterfinal", "Round of 16"]
+    assert each(spark, S.round_name, [1, 2, 4, 8], "int") == ["Final", "RO4/SF", "RO8/QF", "RO16"]
     assert each(spark, S.league_level, ["Nationella serier", "Region Norr", "Distrikt 3", "Övrigt", None]) == ["National", "Regional", "District", "Other", None]
     assert each(spark, lambda c: S.structure_from_text(F.lit(2), c), ["Gruppspel 1 ... Gruppspel 2", "Pool, slutspel", "x", None]) == [4, 1, 2, 2]

@@ -44,7 +44,7 @@ def test_other_writes(spark):
 
 def test_hash_and_checks(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("a", None)], "x string, y string")
-    h = [r["h"] for r in df.select(G.content_hash([F.col("x"), F.col("y")]).alias("h")).collect()]
+    h = [r["h"] for r in df.select(G.content_hash(df, ["x", "y"]).alias("h")).collect()]
     assert h[0] == h[2] != h[1]
     checked = G.check_rows(df, [("x there", F.col("x").isNotNull()), ("y is a", F.col("y") == "a")])
     assert rows(checked, "reasons") == [("x there",), ("y is a",), ("y is a",)]
