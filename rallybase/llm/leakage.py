@@ -24,6 +24,7 @@ from ..session import stash
 
 MAX_ITEM_WORDS = 2_000_000  # all items together have to fit in each worker; more are to be searched in blocks
 WINDOW, STRIDE = 48, 24
+LEAST_WORDS = 3  # different words a stretch has to have beside the commonest, or all of a shorter item's
 _FOLD = str.maketrans("àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿšž", "aaaaaaaceeeeiiiinoooooouuuuyysz", "​‌‍﻿­")
 _TAG, _BREAK, _DOUBLE = re.compile(r"</?[a-z][^<>\n]{0,40}>|&[a-z]+;|&#[0-9]+;"), re.compile(r"[-‐]\s*\n[>\s]*"), re.compile(r"ae|aa")
 _WORDS = re.compile(r"[a-z0-9]+")
@@ -106,29 +107,31 @@ class Judge:
     """The check of a candidate: LCS in at most two stretches, as a part of the item's words; the part of its own words met."""
 
     def __init__(self, items: Items, common: set[int], gap: int = 10):
-        self.items, self.common, self.gap = items, common, gap
-        self.masks = []
+        self.items, self.gap = items, gap
+        self.masks, self.common = [], []
         for s in items.seqs:
+            # An item made of common words only is judged by all its words.
+            self.common.append(common if len(set(s) - common) >= LEAST_WORDS else frozenset())
             m: dict[int, int] = {}
             for p, x in enumerate(s):
                 m[x] = m.get(x, 0) | 1 << p
             self.masks.append(m)
 
     def score(self, k: int, at: np.ndarray, ids: np.ndarray) -> tuple[float, float]:
-        masks, own, m = self.masks[k], self.items.own[k], len(self.items.seqs[k])
+        masks, own, m, common = self.masks[k], self.items.own[k], len(self.items.seqs[k]), self.common[k]
         stretches: list[list[int]] = []
         last = -(1 << 30)
         for p, x in zip(at.tolist(), ids.tolist(), strict=True):
             if x not in masks:
                 continue
-            if x not in self.common:
+            if x not in common:
                 if p - last > self.gap:
                     stretches.append([])
                 last = p
             elif p - last > self.gap:
                 continue
             stretches[-1].append(x)
-        stretches = [s for s in stretches if sum(x not in self.common for x in set(s)) >= 3]
+        stretches = [s for s in stretches if sum(x not in common for x in set(s)) >= min(LEAST_WORDS, len(masks))]
         scored = sorted(range(len(stretches)), key=lambda i: -lcs(stretches[i], masks, m)[0])[:2]
         seq = [x for i in sorted(scored) for x in stretches[i]]
         if not seq:

@@ -86,3 +86,12 @@ def test_empty(spark):
     b = spark.createDataFrame([(1, item(1))], "item_id long, text string")
     assert L.find_leaks(d.limit(0), b).count() == 0
     assert L.find_leaks(d, b.limit(0)).count() == 0
+
+
+def test_items_of_common_words():
+    """An item of which all words are among the commonest is judged by them all."""
+    items = L.Items([1, 2], ["a", "b", "c", "d", "e"], [[0, 1, 2, 3], [4, 0]], [set(), set()])
+    judge = L.Judge(items, {0, 1, 2, 3, 4})
+    assert judge.score(0, np.arange(4), np.array([0, 1, 2, 3]))[0] == 1.0
+    assert judge.score(1, np.arange(2), np.array([4, 0]))[0] == 1.0
+    assert judge.score(0, np.arange(0), np.array([], dtype=int))[0] == 0.0
