@@ -3,7 +3,7 @@
 Votes are -1, 0 (abstains) or 1. The data enter as counts of vote patterns, of which there are at most 3 to the number of
 voters whatever the number of pairs. Expectation maximisation fits the share of matches and each voter's chances given the
 truth; correlated voters are joined by a tree of the strongest conditional dependencies (each voter given the truth and one
-other voter, where the votes speak for it), so that two voters that see the same thing don't count twice.
+other voter), so that two voters that see the same thing don't count twice.
 """
 
 from __future__ import annotations
@@ -34,7 +34,11 @@ class LabelModel:
                 if done:
                     break
             if stage == 0:
+                alone, share = post, self.pi
                 self.parent = self._tree(v, counts, post)
+        if self.pi < 0.1 * share or 1 - self.pi < 0.1 * (1 - share):
+            # The tree explained all votes by one kind of pairs: the voters are taken as independent.
+            self.parent, post = [-1] * n, alone
         self._maximise(v, counts, post)
         return self
 
@@ -59,11 +63,10 @@ class LabelModel:
                     mass, t = t.sum(), t / t.sum()
                     weight[a, b] += mass * (t * np.log(t / (t.sum(1, keepdims=True) * t.sum(0, keepdims=True)))).sum()
         weight += weight.T
-        least = 4 * np.log(max(counts.sum(), 2.0))  # eight more numbers to learn have to be worth it
         parent, inside = [-1] * n, {0}
         while len(inside) < n:
             a, b = max(((a, b) for a in inside for b in range(n) if b not in inside), key=lambda e: weight[e])
-            parent[b] = a if weight[a, b] > least else -1
+            parent[b] = a
             inside.add(b)
         return parent
 
