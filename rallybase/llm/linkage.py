@@ -32,7 +32,8 @@ def link_transitions(transitions: DataFrame, licences: DataFrame, clubs: DataFra
     season = F.coalesce(X.season_start(F.col("season_label")), F.year(F.add_months("transition_date", -6)))
     t = transitions.select("row_id", F.concat_ws(" ", "firstname", "lastname").alias("name"), F.col("firstname").alias("t_first"), F.col("lastname").alias("t_last"), season.alias("season"), F.year("date_born").alias("y1"), X.year_of(F.col("year_born")).alias("y2"), F.col("club_from").alias("_f"), F.col("club_to").alias("_t"))
     t = t.join(club_of.select(F.col("text").alias("_f"), F.col("club_id").alias("from_id")), "_f", "left").join(club_of.select(F.col("text").alias("_t"), F.col("club_id").alias("to_id")), "_t", "left").drop("_f", "_t")
-    t = stash(t.withColumn("name_id", F.xxhash64("name")), "t")
+    bare = lambda c: F.regexp_replace(X.fold(F.col(c)), " ", "")
+    t = stash(t.withColumns({"name_id": F.xxhash64("name"), "t_key": X.token_key(F.col("name")), "t_first": bare("t_first"), "t_last": bare("t_last")}), "t")
     held = lic.filter("person is not null and club_id is not null and season is not null").select("person", "season", "club_id").distinct()
     held = stash(held, "held")
     person_clubs = held.select("person", "club_id").distinct()
@@ -43,14 +44,14 @@ def link_transitions(transitions: DataFrame, licences: DataFrame, clubs: DataFra
     pairs = t.join(by_name, "name_id").select("row_id", "person", "told", "weight").unionByName(by_club.withColumn("told", F.lit(None).cast("double")).withColumn("weight", F.lit(None).cast("double")))
     pairs = pairs.groupBy("row_id", "person").agg(F.max("told").alias("told"), F.max("weight").alias("weight"))
     seasons = held.groupBy("person").agg(F.collect_set(F.struct("season", "club_id")).alias("held"))  # bounded: seasons x clubs of one person
-    full = pairs.join(t, "row_id").join(persons, "person").join(seasons, "person", "left")
+    # Names are folded once for each row and person, never for each pair.
+    folded = persons.select("person", "year", X.token_key(F.concat_ws(" ", "firstname", "lastname")).alias("key"), bare("firstname").alias("first"), bare("lastname").alias("last"))
+    full = pairs.join(t, "row_id").join(folded, "person").join(seasons, "person", "left")
     at = lambda when, club: F.exists("held", lambda h: when(h["season"]) & (h["club_id"] == F.col(club)))
     s = F.col("season")
-    name_key, reg_key = X.token_key(F.col("name")), X.token_key(F.concat_ws(" ", "firstname", "lastname"))
-    last, first = F.regexp_replace(X.fold(F.col("lastname")), " ", ""), F.regexp_replace(X.fold(F.col("firstname")), " ", "")
-    tl, tf = F.regexp_replace(X.fold(F.col("t_last")), " ", ""), F.regexp_replace(X.fold(F.col("t_first")), " ", "")
-    near_last = F.coalesce(F.greatest(X.nearness(tl, last), X.nearness(tf, last)), F.lit(0.0))
-    near_first = F.coalesce(F.greatest(X.nearness(tl, first), X.nearness(tf, first)), F.lit(0.0))
+    near = lambda a, b: X.nearness(F.col(a), F.col(b))
+    near_last = F.coalesce(F.greatest(near("t_last", "last"), near("t_first", "last")), F.lit(0.0))
+    near_first = F.coalesce(F.greatest(near("t_last", "first"), near("t_first", "first")), F.lit(0.0))
     year_met = F.coalesce(F.col("y1") == F.col("year"), F.lit(False)) | F.coalesce(F.col("y2") == F.col("year"), F.lit(False))
     year_off = F.coalesce(F.least(F.abs(F.col("y1") - F.col("year")), F.abs(F.col("y2") - F.col("year"))), F.lit(-1))
     before, after = at(lambda y: (y <= s) & (y >= s - 3), "from_id"), at(lambda y: (y >= s) & (y <= s + 2), "to_id")
@@ -58,7 +59,7 @@ def link_transitions(transitions: DataFrame, licences: DataFrame, clubs: DataFra
     known_after = F.exists("held", lambda h: h["season"] >= s) & F.col("to_id").isNotNull()
     voted = full.withColumns(
         {
-            "v_exact": _vote(name_key == reg_key, F.coalesce(F.col("weight"), F.lit(0.0)) < 0.5),
+            "v_exact": _vote(F.col("t_key") == F.col("key"), F.coalesce(F.col("weight"), F.lit(0.0)) < 0.5),
             "v_form": _vote(F.col("weight") >= 0.7, F.col("weight").isNull()),
             "v_last": _vote(near_last >= 0.8, near_last < 0.6),
             "v_first": _vote((near_first >= 0.7) | (F.col("weight") >= 0.7), (near_first < 0.4) & F.col("weight").isNull()),
@@ -68,7 +69,8 @@ def link_transitions(transitions: DataFrame, licences: DataFrame, clubs: DataFra
             "v_move": _vote(F.coalesce(before & after, F.lit(False)), F.coalesce(known_before & known_after & ~before & ~after, F.lit(False))),
         }
     )
-    told = stash(with_confidence(voted.select("row_id", "person", "told", *VOTERS), VOTERS, start=START), "confidence")
+    votes = stash(voted.select("row_id", "person", "told", *VOTERS), "votes")  # made once: to learn from, and to be judged
+    told = with_confidence(votes, VOTERS, start=START)
     w = Window.partitionBy("row_id").orderBy(F.desc("confidence_odds"), F.desc_nulls_last("told"), "person")
     best = told.withColumn("_r", F.row_number().over(w)).withColumn("_c", F.lead("confidence_odds").over(w)).withColumn("_t", F.lead("told").over(w)).filter("_r = 1")
     alone = F.col("_c").isNull() | (F.col("confidence_odds") > F.col("_c") + 0.1) | (F.coalesce("told", F.lit(0.0)) > F.coalesce("_t", F.lit(0.0)))

@@ -5,6 +5,7 @@ import pytest
 
 from rallybase.llm import incremental, linkage, people, survivor
 from rallybase.llm import names as N
+from rallybase.llm.labelmodel import with_confidence
 
 LIC = "row_id long, season_label string, season_id_ext string, club_name string, club_id_ext string, player_id_ext string, firstname string, lastname string, year_born string, license_info_raw string, content_hash string, last_seen_at timestamp, name string"
 CLUBS = [(1, "Porsbenning BTF", "Porsbennings Bordtennisförening", "tidigare Porsbenning-Tuna Pingis"), (2, "Fjärdalen GIF", "Fjärdalens Gymnastik- och Idrottsförening", None), (3, "Molsnäs BTF", "Molsnäss Bordtennisförening", None), (4, "Molsnäs BTS", "Molsnäss Bordtennissällskap", None), (9999, "Okänd klubb", "Okänd klubb", None)]
@@ -256,3 +257,17 @@ def test_many_clubs(spark):
     df = spark.createDataFrame(reg, "club_id long, shortname string, longname string, remarks string")
     texts = spark.createDataFrame([("Porsbening BTK",), ("BTK Porsbenning",), ("Porsbenning",), ("Prosbenningg IF",)], "text string")
     assert {r["text"]: r["club_id"] for r in N.resolve_clubs(texts, df).collect()} == {"Porsbening BTK": 9001, "BTK Porsbenning": 9001, "Prosbenningg IF": 9002}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_votes_are_made_once(spark, monkeypatch):
+    """What the label model counts and judges is a stored table, in which no pair is voted on again."""
+    seen = []
+    monkeypatch.setattr(linkage, "with_confidence", lambda pairs, *a, **k: (seen.append(pairs), with_confidence(pairs, *a, **k))[1])
+    raw = spark.createDataFrame([lic(1, "100", "Ann", "Ektyvlund"), lic(2, "101", "Bo", "Mekubsten")], LIC)
+    moves = spark.createDataFrame([(1, "2020-21", "Ann", "Ektyvlund", None, "1990", "Porsbenning BTF", "Fjärdalen GIF", date(2020, 8, 1))], "row_id long, season_label string, firstname string, lastname string, date_born date, year_born string, club_from string, club_to string, transition_date date")
+    linkage.link_transitions(moves, raw, clubs(spark))
+    assert "Join" not in _plan(seen[0]) and "levenshtein" not in _plan(seen[0])
