@@ -302,7 +302,10 @@ def club_typed_pieces(place: str | None, short: str | None) -> dict[int, float]:
 
 
 def explode_forms(df: DataFrame, key: list[str], args: list[str], forms: Callable, weighted: bool) -> DataFrame:
-    """key, form (a number, see _form) and weight: one row per form of each name. A map in Arrow batches."""
+    """key, form (a number, see _form) and weight: one row per form of each name. A map in Arrow batches.
+
+    Spark takes the result to be as small as the names, so joins on form are merges by hint: else the forms of a small table
+    of names, some fifty times as large, would be broadcast through the driver."""
     schema = T.StructType([df.schema[k] for k in key] + [T.StructField("form", T.LongType())] + ([T.StructField("weight", T.FloatType())] if weighted else []))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
@@ -356,11 +359,11 @@ def match_clubs(texts: DataFrame, registry: DataFrame) -> DataFrame:
     names = reg.select("club_id", F.col("place").alias("p"), F.col("short").alias("s")).filter("p <> ''").distinct()
 
     def met(of: DataFrame, typed_by: Callable, registered_by: Callable) -> DataFrame:
-        index = explode_forms(reg, ["club_id"], ["place", "short"], registered_by, False).distinct()
-        index = index.join(index.groupBy("form").agg(F.count(F.lit(1)).alias("_n")), "form")
-        hit = explode_forms(of, ["text"], ["place", "short"], typed_by, True).join(index, "form")
-        told = F.col("weight").cast("double") / (1 + CLUB_RARITY * F.log(F.col("_n").cast("double")))
-        return hit.groupBy("text", "club_id").agg(F.max(told).alias("score")).join(of, "text").join(names, "club_id")
+        index = explode_forms(reg, ["club_id"], ["place", "short"], registered_by, False).groupBy("form").agg(F.collect_set("club_id").alias("_clubs"))  # bounded: clubs
+        hit = explode_forms(of, ["text"], ["place", "short"], typed_by, True).hint("merge").join(index, "form")
+        told = F.col("weight").cast("double") / (1 + CLUB_RARITY * F.log(F.size("_clubs").cast("double")))
+        hit = hit.select("text", told.alias("told"), F.explode("_clubs").alias("club_id"))
+        return hit.groupBy("text", "club_id").agg(F.max("told").alias("score")).join(of, "text").join(names, "club_id")
 
     apart = F.levenshtein(F.concat("place", "short"), F.concat("p", "s"))
     far = F.when(F.col("short") == "", F.least(apart, F.levenshtein("place", "p"))).otherwise(apart)

@@ -67,7 +67,7 @@ def candidates(typed: DataFrame, index: DataFrame, spellings: DataFrame) -> Data
     made = N.explode_forms(names, ["name_id"], ["name"], N.typed_forms, True)
     hot = hot_keys(index, ["form"], HOT)
     spread = add_salt(index, hot, ["form"], [F.col("person")])
-    met = replicate(made, hot, ["form"]).join(spread, ["form", "_salt"]).select("name_id", "person", "weight")
+    met = replicate(made, hot, ["form"]).hint("merge").join(spread, ["form", "_salt"]).select("name_id", "person", "weight")
     found = met.groupBy("name_id", "person").agg(F.max("weight").alias("weight"))
     known = known_parts(spellings)
     typed_parts = names.select("name_id", F.explode(_parts(F.col("name"))).alias("part")).join(known, "part").groupBy("name_id").agg(F.collect_set("part").alias("_known"))  # at most six parts

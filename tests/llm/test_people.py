@@ -263,6 +263,14 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_forms_of_few_names_are_not_broadcast(spark):
+    """Forms are some fifty times as large as their names, which the estimate of a broadcast doesn't know."""
+    raw = spark.createDataFrame([lic(1, "100", "Ann", "Ektyvlund"), lic(2, "101", "Bo", "Mekubsten")], LIC)
+    _, _, spellings, _ = people.registry(raw, clubs(spark))
+    typed = spark.createDataFrame([(1, "Ann Ektyvlud")], "name_id long, name string")
+    assert "SortMergeJoin [form#" in _plan(people.candidates(typed, people.registered_index(spellings), spellings))
+
+
 def test_votes_are_made_once(spark, monkeypatch):
     """What the label model counts and judges is a stored table, in which no pair is voted on again."""
     seen = []
