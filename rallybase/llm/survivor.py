@@ -37,7 +37,7 @@ def _pair_names(names: DataFrame) -> DataFrame:
 
     reg = stash(N.explode_forms(names, ["name_id"], ["name"], both_ways, False).distinct(), "forms").withColumnRenamed("name_id", "b")
     made = N.explode_forms(names, ["name_id"], ["name"], typed, True).withColumnRenamed("name_id", "a")
-    pairs = made.join(reg, "form").filter("a <> b")
+    pairs = made.hint("merge").join(reg, "form").filter("a <> b")
     return pairs.groupBy("a", "b").agg(F.max("weight").cast("double").alias("weight"))
 
 
@@ -120,6 +120,7 @@ def group_players(players: DataFrame) -> DataFrame:
     fits = told.unionByName(far).groupBy("node", "root").agg(F.max("weight").alias("weight"))
     w = Window.partitionBy("node").orderBy(F.desc("weight"), "root")
     sole = fits.withColumn("_r", F.row_number().over(w)).withColumn("_w", F.lead("weight").over(w)).filter((F.col("_r") == 1) & (F.col("_w").isNull() | (F.col("_w") < F.col("weight")))).select("node", "root")
+    sole = stash(sole, "sole")  # plans stay small: the driver holds a plan anew for each of its stages
     of_node = dated.select("node", "root").unionByName(late.select("node").unionByName(vague.select("node")).join(sole, "node", "left").withColumn("root", F.coalesce("root", "node")).select("node", "root"))
     of_node = nodes.join(of_node, "node").select("name_id", "year", "day", "root")
     cond = rows["name_id"].eqNullSafe(of_node["name_id"]) & rows["year"].eqNullSafe(of_node["year"]) & rows["day"].eqNullSafe(of_node["day"])

@@ -2,6 +2,7 @@ import pathlib
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from rallybase.llm import incremental, linkage, people, survivor
 from rallybase.llm import names as N
@@ -269,6 +270,7 @@ def test_forms_of_few_names_are_not_broadcast(spark):
     _, _, spellings, _ = people.registry(raw, clubs(spark))
     typed = spark.createDataFrame([(1, "Ann Ektyvlud")], "name_id long, name string")
     assert "SortMergeJoin [form#" in _plan(people.candidates(typed, people.registered_index(spellings), spellings))
+    assert "SortMergeJoin [form#" in _plan(survivor._pair_names(spark.createDataFrame([(1, "ann ektyvlund"), (2, "ann ektyvlud")], "name_id long, name string")))
 
 
 def test_votes_are_made_once(spark, monkeypatch):
@@ -279,3 +281,11 @@ def test_votes_are_made_once(spark, monkeypatch):
     moves = spark.createDataFrame([(1, "2020-21", "Ann", "Ektyvlund", None, "1990", "Porsbenning BTF", "Fjärdalen GIF", date(2020, 8, 1))], "row_id long, season_label string, firstname string, lastname string, date_born date, year_born string, club_from string, club_to string, transition_date date")
     linkage.link_transitions(moves, raw, clubs(spark))
     assert "Join" not in _plan(seen[0]) and "levenshtein" not in _plan(seen[0])
+
+
+def test_groups_are_told_by_a_short_plan(spark):
+    """The last plan of grouping reads what was told before, and looks for no near name itself."""
+    df = spark.createDataFrame([(1, "Ann", "Ektyvlund", "1990", None), (2, "Ann", "Ektyvlund", None, None), (3, "Bo", "Mekubsten", "1980", None)], "player_id long, firstname string, lastname string, year_born string, date_born string").withColumn("fullname_raw", F.lit(None).cast("string"))
+    groups = survivor.group_players(df)
+    assert "levenshtein" not in _plan(groups) and "Window" not in _plan(groups)
+    assert {r["player_id"]: r["group_id"] for r in groups.collect()} == {1: 1, 2: 1, 3: 3}
