@@ -35,8 +35,8 @@ def merkle_nodes(snapshots: DataFrame, key: str = "key", state: str = "state", f
     level = snapshots.groupBy("snap", leaf.alias("node")).agg(F.expr(f"bit_xor(xxhash64({key}, {state}))").alias("digest"), F.count(F.lit(1)).alias("n"))
     level = stash(level.select("snap", "node", F.xxhash64("digest", "n").alias("digest")), "leaves")  # rows are hashed once
     out = [level]
-    for _ in range(depth):
-        level = level.groupBy("snap", F.floor(F.col("node") / fanout).cast("int").alias("node")).agg(F.expr("bit_xor(xxhash64(node, digest))").alias("digest"))
+    for _ in range(depth):  # every level is a table of its own: a plan over all levels would grow with the square of the depth
+        level = stash(level.groupBy("snap", F.floor(F.col("node") / fanout).cast("int").alias("node")).agg(F.expr("bit_xor(xxhash64(node, digest))").alias("digest")), "nodes")
         out.append(level)
     return out[::-1]
 
@@ -68,7 +68,7 @@ def compare_down(nodes: list[DataFrame], fanout: int) -> DataFrame:
         if suspects is not None:
             up = F.floor(F.col("node") / fanout).cast("int")
             now = now.withColumn("_up", up).join(suspects, ["snap", "_up"], "left_semi").drop("_up")
-        differing = now.join(before, ["snap", "node"], "left").filter(~F.col("digest").eqNullSafe(F.col("_before"))).select("snap", "node")
+        differing = stash(now.join(before, ["snap", "node"], "left").filter(~F.col("digest").eqNullSafe(F.col("_before"))).select("snap", "node"), "differing")
         suspects = differing.withColumnRenamed("node", "_up")
     return differing
 

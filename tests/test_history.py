@@ -99,3 +99,16 @@ def test_snapshots_are_appended(spark, tmp_path):
     whole = spark.createDataFrame([(n, k, v) for n, s in enumerate(snaps) for k, v in s.items()], "snap int, key string, state string")
     changed = {(r["snap"], r["key"], r["state"], r["state_before"]) for r in history.diff_snapshots(whole).filter("snap > 0").collect()}
     assert changed == {(1, k, s, b) for k, s, b, gone in got[1] if not gone}
+
+
+def test_levels_are_tables(spark):
+    """No plan spans two levels of the tree, so the driver's plans don't grow with its depth."""
+    rows = spark.createDataFrame([(s, f"k{i}", f"{i}{s if i == 7 else ''}") for s in range(3) for i in range(40)], "snap int, key string, state string")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    nodes = history.merkle_nodes(rows, fanout=2, depth=4)
+    assert all("Aggregate" not in plan(level) for level in nodes)
+    leaves = history.compare_down(nodes, 2)
+    assert "Join" not in plan(leaves)
+    assert {(r["snap"]) for r in leaves.collect()} == {0, 1, 2}
+    changed = history.diff_snapshots(rows, fanout=2, depth=4).filter("snap > 0").collect()
+    assert sorted((r["snap"], r["key"], r["state"], r["state_before"]) for r in changed) == [(1, "k7", "71", "70"), (2, "k7", "72", "71")]
