@@ -162,7 +162,7 @@ def link_transitions(changes: DataFrame, persons: DataFrame, transitions: DataFr
 
     ev_keys = stash(ev, "changes").withColumn("k", keys("name_key", "year", "club_before", "club"))
     t_keys = stash(t, "transitions").withColumn("k", keys("t_name", "t_year", "t_from", "t_to"))
-    pairs = ev_keys.join(t_keys.drop("season"), "k").dropDuplicates(["person", "season", "t", "club"])
+    pairs = ev_keys.hint("merge").join(t_keys.drop("season"), "k").dropDuplicates(["person", "season", "t", "club"])
     near = X.nearness(F.col("name_key"), F.col("t_name"))
     shared = F.least(F.size(F.array_intersect(F.split("name_key", " "), F.split("t_name", " "))), F.lit(2))
     year = F.when(F.abs(F.col("year") - F.col("t_year")) <= 1, 1).when(F.col("year").isNotNull() & F.col("t_year").isNotNull(), -1).otherwise(0)

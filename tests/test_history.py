@@ -112,3 +112,13 @@ def test_levels_are_tables(spark):
     assert {(r["snap"]) for r in leaves.collect()} == {0, 1, 2}
     changed = history.diff_snapshots(rows, fanout=2, depth=4).filter("snap > 0").collect()
     assert sorted((r["snap"], r["key"], r["state"], r["state_before"]) for r in changed) == [(1, "k7", "71", "70"), (2, "k7", "72", "71")]
+
+
+def test_keys_of_few_changes_are_not_broadcast(spark):
+    """A row has a dozen keys, which the estimate of a broadcast doesn't know."""
+    changes = spark.createDataFrame([("1", 2016, "10", "20", "berga", "alby")], "person string, season int, club_before string, club string, place string, place_before string")
+    persons = spark.createDataFrame([("1", "ann ek", 1990)], "person string, name_key string, year int")
+    moves = spark.createDataFrame([(1, "2016-17", "Ann", "Ek", date(1990, 1, 2), "1990", "Alby BTK", "Berga IF", date(2016, 11, 3))], TRA)
+    days = history.link_transitions(changes, persons, moves, spark.createDataFrame([("albybtk", "10"), ("bergaif", "20")], "club_key string, club string"))
+    assert "SortMergeJoin [k#" in days._jdf.queryExecution().executedPlan().toString()
+    assert [(r["person"], r["club"], str(r["day"])) for r in days.collect()] == [("1", "20", "2016-11-03")]
